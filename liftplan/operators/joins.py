@@ -49,8 +49,8 @@ def lookup(df: DataFrame, dim: DataFrame, on: Mapping[str, str], take: Mapping[s
 
 def full_join_fill(a: DataFrame, b: DataFrame, on: Mapping[str, str],
                    fill: Mapping[str, tuple[str, str]] | None = None,
-                   how: str = "full") -> DataFrame:
-    """Full (or left) join on computed or plain keys, then key fill.
+                   unique_keys: bool = False) -> DataFrame:
+    """Full join on computed or plain keys, then key fill.
 
     ``on`` maps columns of ``a`` to columns of ``b``; the frames must not share
     column names. ``fill`` maps a result name to the pair (column of ``a``,
@@ -59,34 +59,41 @@ def full_join_fill(a: DataFrame, b: DataFrame, on: Mapping[str, str],
     The full join is built as a left join plus the rows of ``b`` that no key
     of ``a`` meets. Spark can split a hot key of ``a`` in a left join, which it
     cannot do in a full one, and the second part sees each key of ``a`` once.
+    ``unique_keys`` says that no key repeats on either side; a plain full join,
+    with one pass over each, then has no hot keys to fear.
     """
     clash = {c.lower() for c in a.columns} & {c.lower() for c in b.columns}
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
     match = _all([F.col(x) == F.col(y) for x, y in on.items()])
-    joined = a.join(b, match, "left")
-    if how == "full":
+    if unique_keys:
+        joined = a.join(b, match, "full")
+    else:
         met = a.select(*on).distinct()
-        joined = joined.unionByName(b.join(met, match, "left_anti"), allowMissingColumns=True)
+        joined = a.join(b, match, "left").unionByName(
+            b.join(met, match, "left_anti"), allowMissingColumns=True)
     if fill:
         joined = joined.withColumns({n: F.coalesce(F.col(x), F.col(y)) for n, (x, y) in fill.items()})
     return joined
 
 
 def merge_newer(old: DataFrame, new: DataFrame, keys: Sequence[str],
-                keep_history: bool = True) -> DataFrame:
+                keep_history: bool = True, unique_keys: bool = False) -> DataFrame:
     """Merge two versions of a table; a new value wins where it is not null.
 
     ``keep_history=True`` keeps keys found only in ``old`` (a full join);
-    ``False`` keeps the keys of ``new`` only (a right join).
+    ``False`` keeps the keys of ``new`` only (a right join). ``unique_keys``
+    as in :func:`full_join_fill`.
     """
     shared = common_columns(new, old, keys)
     right = new.select(*keys, *shared)
     left = old.select(*[F.col(k).alias(f"__old_{k}") for k in keys],
                       *[F.col(c).alias(f"__old_{c}") for c in shared])
     match = _all([F.col(k) == F.col(f"__old_{k}") for k in keys])
-    merged = right.join(left, match, "left").select(
-        *keys, *[F.coalesce(F.col(c), F.col(f"__old_{c}")).alias(c) for c in shared])
+    newest = [F.coalesce(F.col(c), F.col(f"__old_{c}")).alias(c) for c in [*keys, *shared]]
+    if keep_history and unique_keys:
+        return right.join(left, match, "full").select(*newest)
+    merged = right.join(left, match, "left").select(*keys, *newest[len(keys):])
     if not keep_history:
         return merged
     gone = left.join(right.select(*keys).distinct(), match, "left_anti")

@@ -15,16 +15,17 @@ MAPPING_KEYS = ("material_document_number", "contract_no", "material_number")
 
 
 def run(spark: SparkSession, catalog: Catalog, current: str, history: str, keys: Sequence[str],
-        keep_history: bool = True) -> dict[str, DataFrame]:
+        keep_history: bool = True, unique_keys: bool = False) -> dict[str, DataFrame]:
     """``merged`` rows and the row ``counts`` of all three frames."""
     new, old = read_table(spark, catalog, current), read_table(spark, catalog, history)
-    merged = merge_newer(old, new, keys, keep_history)
+    merged = merge_newer(old, new, keys, keep_history, unique_keys)
     return {"merged": merged, "counts": reconcile(current=new, history=old, merged=merged)}
 
 
 def run_summary(spark: SparkSession, catalog: Catalog, current: str = "contract_summary",
                 history: str = "summary_history", keys: Sequence[str] = SUMMARY_KEYS) -> dict[str, DataFrame]:
-    return run(spark, catalog, current, history, keys)
+    """The summary key is unique in the summary, and so in its merged history."""
+    return run(spark, catalog, current, history, keys, unique_keys=True)
 
 
 def run_mapping(spark: SparkSession, catalog: Catalog, current: str = "delivery_mapping",

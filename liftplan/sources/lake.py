@@ -1,0 +1,16 @@
+"""The lake table format a session can use."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+
+def lake_format(spark: SparkSession) -> str:
+    """``delta`` where its package is on the class path, else ``parquet``."""
+    try:
+        spark.sparkContext._jvm.java.lang.Class.forName(
+            "io.delta.sql.DeltaSparkSessionExtension", False,
+            spark.sparkContext._jvm.java.lang.Thread.currentThread().getContextClassLoader())
+    except Exception:
+        return "parquet"
+    return "delta"

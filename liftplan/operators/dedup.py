@@ -24,12 +24,12 @@ def top1_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | st
                  tiebreak: Sequence[Column | str] | None = None) -> DataFrame:
     """One row per key: the first by ``order``, ties settled by ``tiebreak``.
 
-    Without ``tiebreak`` all other columns decide, so the result is the same
-    on every run.
+    Without ``tiebreak`` all other columns decide, in alphabetical order, so
+    the result is the same on every run.
     """
     if tiebreak is None:
         key_set = {k.lower() for k in keys}
-        tiebreak = [c for c in df.columns if c.lower() not in key_set]
+        tiebreak = sorted(c for c in df.columns if c.lower() not in key_set)
     return first_per_key(df, keys, [*order, *tiebreak], 1, "__position").drop("__position")
 
 

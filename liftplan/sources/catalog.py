@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace as _copy
 from datetime import datetime
 
@@ -39,7 +39,7 @@ class Catalog:
 
     def __init__(self, tables: Mapping[str, TableSpec] | None = None):
         self._tables: dict[str, TableSpec] = dict(tables or {})
-        self._frames: dict[str, DataFrame] = {}
+        self._frames: dict[str, DataFrame | Callable[[], DataFrame]] = {}
 
     @classmethod
     def of_zone(cls, fmt: str, base: str, names: Sequence[str], suffix: str = "",
@@ -52,13 +52,19 @@ class Catalog:
         self._tables[name] = spec
         return self
 
-    def bind(self, name: str, df: DataFrame) -> "Catalog":
-        """Use ``df`` whenever ``name`` is read (derived or already open tables)."""
+    def bind(self, name: str, df: DataFrame | Callable[[], DataFrame]) -> "Catalog":
+        """Use ``df`` whenever ``name`` is read (derived or already open tables).
+
+        A callable is asked once, on first use.
+        """
         self._frames[name] = df
         return self
 
     def frame(self, name: str) -> DataFrame | None:
-        return self._frames.get(name)
+        found = self._frames.get(name)
+        if callable(found):
+            found = self._frames[name] = found()
+        return found
 
     def spec(self, name: str) -> TableSpec:
         if name not in self._tables:

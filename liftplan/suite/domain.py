@@ -10,6 +10,7 @@ from liftplan.sources import Catalog
 
 # Code widths: wide enough for the keys of the largest scale, so that no two
 # keys share a code.
+GIVEN = ("customer", "supplier", "part", "orders", "lineitem")
 ORDER, DOC, PARTY, MATERIAL, PLANT = 16, 15, 14, 24, 12
 
 
@@ -192,15 +193,17 @@ group by l_suppkey, l_partkey, p_size, p_type, p_brand, p_name, l_linestatus""",
 
 def domain_catalog(inputs) -> Catalog:
     """Catalog of the derived tables, opened by Spark."""
+    def opened(text: str):
+        used = {t: getattr(inputs, t) for t in GIVEN if "{" + t + "}" in text}
+        return lambda: inputs.spark.sql(text, **used)
+
     catalog = Catalog()
     for name, text in DOMAIN_SQL.items():
-        used = {t: getattr(inputs, t) for t in ("customer", "supplier", "part", "orders", "lineitem")
-                if "{" + t + "}" in text}
-        catalog.bind(name, inputs.spark.sql(text, **used))
+        catalog.bind(name, opened(text))
     return catalog
 
 
 def domain_cte(name: str) -> str:
     """The derived table as a common table expression for the SQL side."""
-    names = {t: t for t in ("customer", "supplier", "part", "orders", "lineitem")}
+    names = {t: t for t in GIVEN}
     return f"{name} as ({DOMAIN_SQL[name].format(**names)})"

@@ -6,11 +6,12 @@ braces are the given tables. Codes are padded the way the sources pad them.
 
 from __future__ import annotations
 
+from liftplan.session import stage
 from liftplan.sources import Catalog
 
 # Code widths: wide enough for the keys of the largest scale, so that no two
 # keys share a code.
-GIVEN = ("customer", "supplier", "part", "orders", "lineitem")
+GIVEN = ("customer", "supplier", "part", "orders", "lineitem", "items")
 ORDER, DOC, PARTY, MATERIAL, PLANT = 16, 15, 14, 24, 12
 
 
@@ -30,12 +31,16 @@ def _plant(key: str, third: str = "D361") -> str:
     return f"case when {key} = 3 then '{third}' else 'P' || {_code(key, PLANT)} end"
 
 
-_ITEMS = f"""
-select l_orderkey as k, l_linenumber as n, min(l_partkey) as part, min(l_suppkey) as supp,
-       sum(l_quantity) as qty, min(l_returnflag) as flag, min(l_linestatus) as status,
-       max(l_shipdate) as shipped, min(l_discount) as discount, min(l_tax) as tax
-from {{lineitem}} group by l_orderkey, l_linenumber
-"""
+# One row per order and line. Flags are ranked as numbers, which aggregate
+# without a sort, and named again afterwards.
+_ITEMS = """
+select k, n, part, supp, qty, case flag when 1 then 'A' when 2 then 'N' when 3 then 'R' end as flag,
+       case status when 1 then 'F' else 'O' end as status, shipped, discount, tax
+from (select l_orderkey as k, l_linenumber as n, min(l_partkey) as part, min(l_suppkey) as supp, sum(l_quantity) as qty,
+             min(case l_returnflag when 'A' then 1 when 'N' then 2 else 3 end) as flag,
+             min(case l_linestatus when 'F' then 1 else 2 end) as status,
+             max(l_shipdate) as shipped, min(l_discount) as discount, min(l_tax) as tax
+      from {lineitem} group by l_orderkey, l_linenumber) g"""
 
 
 def _header(days: str, batch: str, where: str) -> str:
@@ -82,7 +87,7 @@ select {_code('k', ORDER)} as vbeln, {_code('n', 6)} as posnr, {_code('part', MA
        case when tax > 0.07 then 'X1' when tax > 0.06 then '  ' when tax > 0.05 then '' end as abgru,
        'L' as voleh, qty * 10 as zmeng,
        case flag when 'A' then 'TO' when 'N' then 'M15' else 'L15' end as zieme, 'DE01' as bukrs
-from ({_ITEMS}) i""",
+from {{items}} i""",
     "document_flow": f"""
 select 'S' || {_code('o_orderkey', DOC)} as vbeln, {_code('o_orderkey', ORDER)} as vbelv, '000001' as posnv,
        '02' as vtweg, 'DE01' as vkorg from {{orders}}
@@ -94,12 +99,12 @@ select {_code('k', ORDER)} as vbeln, {_code('n', 6)} as posnr,
        case when status = 'O' and flag = 'A' then 'TTTT' when status = 'O' and flag = 'N' then 'TTFD'
             when status = 'O' then '' when flag = 'A' then 'TSFP' when flag = 'N' then 'TTTS' end as bsark_e,
        'DE01' as bukrs
-from ({_ITEMS}) i""",
+from {{items}} i""",
     "price_condition": f"""
 select {_code('k', ORDER)} as knumv, {_code('n', 6)} as kposn,
        case when tax > 0.06 then 'YP03' when tax > 0.03 then 'YP10' when tax > 0.01 then 'YP23'
             when tax > 0 then '' else 'XX01' end as kschl, 'DE01' as bukrs
-from ({_ITEMS}) i""",
+from {{items}} i""",
     "billing_item": f"""
 select 'I' || {_code('o_orderkey', DOC)} as vbeln, '000010' as posnr, 'S' || {_code('o_orderkey', DOC)} as aubel,
        'T1' as oic_ptrip, {_code('o_orderkey', ORDER)} as oid_miscdl, 'DE01' as vkorg, '02' as vtweg
@@ -143,16 +148,16 @@ select 'M' || {_code('k', DOC)} as mblnr, {_code('n', 4)} as zeile, 'S' || {_cod
        status as oihantyp, 'B' || flag as oid_extbol, shipped as ca_last_mdf, {_code('k', ORDER)} as oivbeln,
        case when flag <> 'N' then 'TR�' || flag end as oic_ptrip,
        case when status = 'F' then 'DRV' end as oid_miscdl, {_code('n', 6)} as oiposnr
-from ({_ITEMS}) i""",
+from {{items}} i""",
     "movement_quantity": f"""
 select 'M' || {_code('k', DOC)} as mblnr, ' ' || {_code('n', 4)} || ' ' as zeile, 'KG' as msehi,
-       qty * 1000 as adqnt, 'DE01' as bukrs from ({_ITEMS}) i where discount > 0
+       qty * 1000 as adqnt, 'DE01' as bukrs from {{items}} i where discount > 0
 union all
 select 'M' || {_code('k', DOC)} as mblnr, ' ' || {_code('n', 4)} || ' ' as zeile, 'L15' as msehi,
-       qty * 1250 as adqnt, 'DE01' as bukrs from ({_ITEMS}) j
+       qty * 1250 as adqnt, 'DE01' as bukrs from {{items}} j
 union all
 select 'M' || {_code('k', DOC)} as mblnr, ' ' || {_code('n', 4)} || ' ' as zeile, 'ST' as msehi,
-       qty as adqnt, 'DE01' as bukrs from ({_ITEMS}) l""",
+       qty as adqnt, 'DE01' as bukrs from {{items}} l""",
     "purchase_header": f"""
 select {_code('o_orderkey', ORDER)} as ebeln, {_ymd('o_orderdate')} as aedat,
        case o_orderstatus when 'F' then 'FCA' when 'O' then 'FOB' end as inco1, o_orderpriority as inco2
@@ -173,7 +178,7 @@ from {orders} where o_orderpriority <> '5-LOW'""",
 select 'M' || {_code('k', DOC)} as material_document_number_a, cast(part as string) as material_number_a,
        cast(k as string) as contract_number, 'L' || cast(supp as string) as load_id_a,
        'DRIVER ' || flag as driver_text_a, 'PLATE ' || status as license_plate_a
-from ({_ITEMS}) i""",
+from {{items}} i""",
     "plan_2022": f"""
 select s_name as sold_to_name, {_PLAN_LABELS}, 'open' as tracking_status,
        case l_linestatus when 'O' then 'active' else 'closed' end as contract_status, {_months('planvol_', MONTH_NAMES)}
@@ -192,10 +197,13 @@ group by l_suppkey, l_partkey, p_size, p_type, p_brand, p_name, l_linestatus""",
 
 
 def domain_catalog(inputs) -> Catalog:
-    """Catalog of the derived tables, opened by Spark."""
+    """Catalog of the derived tables, opened by Spark.
+
+    The items have many readers, so they are written once to the scratch area.
+    """
     def opened(text: str):
-        used = {t: getattr(inputs, t) for t in GIVEN if "{" + t + "}" in text}
-        return lambda: inputs.spark.sql(text, **used)
+        names = [t for t in GIVEN if "{" + t + "}" in text]
+        return lambda: inputs.spark.sql(text, **{t: getattr(inputs, t) for t in names})
 
     catalog = Catalog()
     for name, text in DOMAIN_SQL.items():
@@ -206,4 +214,10 @@ def domain_catalog(inputs) -> Catalog:
 def domain_cte(name: str) -> str:
     """The derived table as a common table expression for the SQL side."""
     names = {t: t for t in GIVEN}
-    return f"{name} as ({DOMAIN_SQL[name].format(**names)})"
+    text = _ITEMS if name == "items" else DOMAIN_SQL[name]
+    return f"{name} as ({text.format(**names)})"
+
+
+def items(inputs):
+    """One row per order and line, written once."""
+    return stage(inputs.spark.sql(_ITEMS, lineitem=inputs.lineitem), "items")

@@ -33,6 +33,11 @@ class Inputs:
         setattr(self, name, df)
         return df
 
+    @cached_property
+    def items(self) -> DataFrame:
+        from liftplan.suite.domain import items
+        return items(self)
+
     @cached_property
     def domain(self) -> Catalog:
         from liftplan.suite.domain import domain_catalog

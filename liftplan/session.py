@@ -65,6 +65,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_base(spark)}/liftplan/{label}-{uuid.uuid4().hex}"
 
 
+_staged: list[str] = []
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the scratch area and read it back.
 
@@ -74,9 +77,27 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    _staged.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Drop the frames staged inside the block at its end.
+
+    Put a job and the writing of its outputs inside; what is left to read lazily
+    after the block would no longer find its input.
+    """
+    first = len(_staged)
+    try:
+        yield
+    finally:
+        for path in _staged[first:]:
+            fs, handle, _ = hadoop_fs(spark, path)
+            fs.delete(handle, True)
+        del _staged[first:]
+
+
 @contextmanager
 def reused(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
     """Keep ``df`` for the actions inside the block and always release it."""

@@ -100,6 +100,15 @@ select {_code('k', ORDER)} as vbeln, {_code('n', 6)} as posnr,
             when status = 'O' then '' when flag = 'A' then 'TSFP' when flag = 'N' then 'TTTS' end as bsark_e,
        'DE01' as bukrs
 from {{items}} i""",
+    # Header-level forms of the two tables above and below, for joins that know no item.
+    "contract_commercial_head": f"""
+select {_code('o_orderkey', ORDER)} as vbeln,
+       case o_orderpriority when '1-URGENT' then 'TTFD' when '2-HIGH' then '' when '3-MEDIUM' then 'TSFP' end as bsark_e
+from {{orders}}""",
+    "price_condition_head": f"""
+select {_code('o_orderkey', ORDER)} as knumv, '000000' as kposn,
+       case o_orderpriority when '1-URGENT' then 'YP03' when '2-HIGH' then 'YP10' when '5-LOW' then 'YP24' else 'XX01' end as kschl
+from {{orders}}""",
     "price_condition": f"""
 select {_code('k', ORDER)} as knumv, {_code('n', 6)} as kposn,
        case when tax > 0.06 then 'YP03' when tax > 0.03 then 'YP10' when tax > 0.01 then 'YP23'

@@ -292,8 +292,9 @@ LEFT JOIN (SELECT DISTINCT kunnr, name1 FROM customer_name) n1 ON n1.kunnr = h.k
 LEFT JOIN (SELECT DISTINCT kunnr, name1 FROM customer_name) n2 ON n2.kunnr = oid_ship
 LEFT JOIN (SELECT DISTINCT kunn2, kunnr FROM customer_partner) kn ON kn.kunnr = h.kunnr
 LEFT JOIN (SELECT DISTINCT kunnr, name1 FROM customer_name) n3 ON n3.kunnr = kn.kunn2
-LEFT JOIN (SELECT DISTINCT bsark_e, vbeln FROM contract_commercial) c ON c.vbeln = h.vbeln
-LEFT JOIN (SELECT DISTINCT knumv, pricing_scheme FROM prices) p ON p.knumv = h.knumv
+LEFT JOIN (SELECT DISTINCT bsark_e, vbeln FROM contract_commercial_head) c ON c.vbeln = h.vbeln
+LEFT JOIN (SELECT DISTINCT knumv, CASE kschl WHEN 'YP03' THEN 'TERM' WHEN 'YP10' THEN 'TERMMAN' ELSE 'SPOT' END AS pricing_scheme
+           FROM price_condition_head WHERE kschl <> 'XX01') p ON p.knumv = h.knumv
 LEFT JOIN (SELECT DISTINCT prod_group_desc, matnr, prod_subgroup, grade FROM material_master) m ON m.matnr = ltrim(i.matnr, '0')
 LEFT JOIN sites ON sites.werks = vbap_werks
 LEFT JOIN (SELECT DISTINCT vbeln AS invoice_number, posnr AS vbrp_position_number, aubel FROM billing_item) b ON b.aubel = h.vbeln
@@ -307,6 +308,8 @@ _TERMINAL_DISTINCT = "SELECT DISTINCT h.*, n1"
 def job_terminal_prototype(t):
     """Movements of the derived tables name the sales order; here they name the contract."""
     catalog = _plain_units(t)
+    for name in ("contract_commercial", "price_condition"):
+        catalog.bind(name, catalog.frame(f"{name}_head"))
     moved = catalog.frame("movement").withColumn("kdauf", F.concat(F.lit("0"), F.substring("kdauf", 2, 15)))
     made = prototypes.run_terminal(t.spark, catalog.bind("movement", moved))["contract_movements"]
     return prototypes.store_in_files(made, TableSpec("parquet", scratch_path(t.spark, "terminal-prototype")))

@@ -10,7 +10,7 @@ from liftplan.operators.aggregate import reconcile
 from liftplan.plans import (
     contract_raw, contract_summary, delivery_mapping, history, ingest, movements, plan, prototypes,
 )
-from liftplan.session import scratch_path
+from liftplan.session import scratch_path, stage
 from liftplan.sources import Catalog, TableSpec, read_table, replace as write_table
 from liftplan.suite.job_sql import MOVED, SUMMED, ties, with_ctes
 from liftplan.suite.joins import _VERSIONS, _versions
@@ -81,7 +81,8 @@ def job_plan_2023(t):
 
 
 def _with_plan(t) -> Catalog:
-    return t.domain.bind("plan_period", _plans(t, 2022).unionByName(_plans(t, 2023)))
+    """The plan jobs store their result; the jobs after them read it."""
+    return t.domain.bind("plan_period", stage(_plans(t, 2022).unionByName(_plans(t, 2023)), "plan-period"))
 
 
 _SUMMARY_TEXT = """agreemt_period, company_code, contract_description, contract_end_period, contract_no, contract_item, purchase_order_type, contract_start_period,

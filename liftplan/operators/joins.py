@@ -18,7 +18,7 @@ def _all(tests: Sequence[Column]) -> Column:
 
 def lookup(df: DataFrame, dim: DataFrame, on: Mapping[str, str], take: Mapping[str, str],
            how: str = "left", fill: bool | Sequence[str] = False,
-           one_to_one: Sequence[Column | str] | None = None) -> DataFrame:
+           one_to_one: Sequence[Column | str] | None = None, details: bool = False) -> DataFrame:
     """Equi-join a dimension and take some of its columns under new names.
 
     ``on``    column of ``df`` -> column of ``dim``.
@@ -27,6 +27,10 @@ def lookup(df: DataFrame, dim: DataFrame, on: Mapping[str, str], take: Mapping[s
               value only where they are null (True: all of them).
     ``one_to_one``  order that picks one dimension row per key, so the join
               cannot multiply rows.
+    ``details``  ``dim`` is a detail table that may hold very many rows of one
+              key. A left join is then built as an inner join, where Spark can
+              split a hot key of either side, plus the rows of ``df`` without
+              details.
 
     The dimension's columns are renamed before the join, so one dimension can
     be looked up any number of times. No side is broadcast by hint: sizes seen
@@ -41,7 +45,12 @@ def lookup(df: DataFrame, dim: DataFrame, on: Mapping[str, str], take: Mapping[s
         *[F.col(on[left]).alias(k) for left, k in keys.items()],
         *[F.col(source).alias(taken[name]) for name, source in take.items()],
     )
-    joined = df.join(right, _all([F.col(left) == F.col(k) for left, k in keys.items()]), how)
+    match = _all([F.col(left) == F.col(k) for left, k in keys.items()])
+    if details and how == "left":
+        bare = df.join(right.select(*keys.values()).distinct(), match, "left_anti")
+        joined = df.join(right, match, "inner").unionByName(bare, allowMissingColumns=True)
+    else:
+        joined = df.join(right, match, how)
     if filled:
         joined = joined.withColumns({n: F.coalesce(F.col(n), F.col(taken[n])) for n in filled})
     return joined.drop(*keys.values(), *[taken[n] for n in filled])

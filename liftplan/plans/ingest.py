@@ -34,4 +34,4 @@ def price_audit_collate(backbone: DataFrame, prices: DataFrame, deals: DataFrame
     base = {c: c for c in backbone.columns if c != backbone_key}
     priced = lookup(prices, backbone, on={price_key: backbone_key}, take=base, how="inner")
     rest = {c: c for c in deals.columns if c != deal_key}
-    return lookup(priced, deals, on={price_key: deal_key}, take=rest).distinct()
+    return lookup(priced, deals, on={price_key: deal_key}, take=rest, details=True).distinct()

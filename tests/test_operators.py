@@ -200,6 +200,14 @@ def test_lookup_same_dimension_twice(spark):
     assert df.columns == ["x", "y", "nx", "ny"] and tuple(df.first()) == (1, 2, "one", "two")
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_lookup_of_details_equals_left_join(spark, seed):
+    a, b = frames(spark, seed, [1, 2, 3, None], [2, 3, 4, None])
+    got = joins.lookup(a, b, {"ka": "kb"}, {"vb": "vb"}, details=True)
+    assert got.columns == ["ka", "va", "vb"]
+    assert bag(got) == bag(a.join(b, F.col("ka") == F.col("kb"), "left").select("ka", "va", "vb"))
+
+
 # ---- dedup ----
 
 

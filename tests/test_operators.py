@@ -3,6 +3,7 @@
 import itertools
 import random
 from collections import Counter
+from unittest.mock import MagicMock, call
 
 import pytest
 from pyspark.sql import functions as F
@@ -283,6 +284,13 @@ def test_unpivot_keeps_sums_and_nulls(spark):
     assert bag(got) == Counter([("a", "2022-01", 1.0), ("a", "2022-02", None), ("b", "2022-01", 2.0), ("b", "2022-02", 4.0)])
 
 
+def test_unpivot_of_two_measures(spark):
+    df = spark.createDataFrame([("a", 1.0, None, 2.0, None)], "k string, t1 double, t2 double, v1 double, v2 double")
+    got = reshape.unpivot_measures(df, ["k"], {"2022-01": {"t": "t1", "v": "v1"}, "2022-02": {"t": "t2", "v": "v2"}}, "period")
+    assert got.columns == ["k", "period", "t", "v"]
+    assert bag(got) == Counter([("a", "2022-01", 1.0, 2.0), ("a", "2022-02", None, None)])
+
+
 def test_column_lists(spark):
     a = spark.createDataFrame([(1, 2, 3)], "Key int, b int, A int")
     b = spark.createDataFrame([(1, 2, 3)], "KEY int, a int, c int")
@@ -304,3 +312,54 @@ def test_hot_key_results(spark):
     plan = spark.range(0, n, 2).select(F.col("id").alias("p"), F.lit(1).alias("x"))
     full = joins.full_join_fill(df, plan, {"k": "p"})
     assert full.count() == df.join(plan, F.col("k") == F.col("p"), "full").count()
+
+
+@pytest.fixture
+def small_skew(spark):
+    """Thresholds at which small test data already counts as skewed."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1000"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def hot_and_unique(spark):
+    hot = spark.range(0, 60_000, 1, 8).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    return hot, spark.range(0, 60_000, 2, 8).select(F.col("id").alias("p"), F.lit("x").alias("x"))
+
+
+@pytest.mark.parametrize("join", ["lookup", "details", "full"])
+def test_hot_key_is_split(spark, small_skew, join):
+    hot, unique = hot_and_unique(spark)
+    if join == "lookup":
+        df, want = joins.lookup(hot, unique, {"k": "p"}, {"x": "x"}), hot.count()
+    elif join == "details":
+        df = joins.lookup(unique, hot, {"p": "k"}, {"v": "v"}, details=True)
+        want = unique.join(hot, F.col("p") == F.col("k"), "left").count()
+    else:
+        df = joins.full_join_fill(hot, unique, {"k": "p"})
+        want = hot.join(unique, F.col("k") == F.col("p"), "full").count()
+    assert len(df.collect()) == want
+    assert "skewed" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_database_sinks_call_the_writer():
+    """No database is started: the calls alone are checked."""
+    target = TableSpec("jdbc", "curated.t", options={"url": "jdbc:any"})
+    for sink, mode in ((append, "append"), (replace, "overwrite")):
+        df = MagicMock()
+        writer = df.write.format.return_value
+        for step in ("options", "option", "mode"):
+            getattr(writer, step).return_value = writer
+        sink(df, target)
+        df.write.format.assert_called_once_with("jdbc")
+        writer.options.assert_called_once_with(url="jdbc:any")
+        writer.mode.assert_called_once_with(mode)
+        assert call("dbtable", "curated.t") in writer.option.call_args_list
+        assert (call("truncate", "true") in writer.option.call_args_list) == (mode == "overwrite")
+        writer.save.assert_called_once_with()

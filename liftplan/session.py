@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -19,12 +17,13 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.session.timeZone": "UTC",
 }
 
 
 def build_session(app: str = "liftplan", master: str | None = None, **conf: str) -> SparkSession:
     """Create (or get) a session; ``conf`` keys use ``__`` for the dots."""
-    builder = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC")
+    builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
@@ -39,25 +38,12 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_local_base: str | None = None
-
-
 def scratch_base(spark: SparkSession) -> str:
-    """Folder all executors can write to.
-
-    A cluster names it in ``spark.checkpoint.dir``. Only a local session with
-    no such setting falls back to a folder of its own.
-    """
-    global _local_base
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    """Folder all executors can write to: ``spark.checkpoint.dir``, or the session's checkpoint folder."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if _local_base is None:
-        _local_base = tempfile.mkdtemp(prefix="liftplan-")
-        atexit.register(shutil.rmtree, _local_base, ignore_errors=True)
-    return _local_base
+    return base.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -65,37 +51,42 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_base(spark)}/liftplan/{label}-{uuid.uuid4().hex}"
 
 
-_staged: list[str] = []
+_owned: ContextVar[list[str] | None] = ContextVar("owned_frames", default=None)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the scratch area and read it back.
 
     Used where a costly frame feeds several outputs: later reads prune columns,
-    start from a short lineage and survive the loss of executors.
+    start from a short lineage and survive the loss of executors. The frame
+    belongs to the enclosing ``staging`` block, if there is one.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    owned = _owned.get()
+    if owned is not None:
+        owned.append(path)
     df.write.parquet(path)
-    _staged.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
-    """Drop the frames staged inside the block at its end.
+    """Drop the frames staged inside the block at its end, and no others.
 
     Put a job and the writing of its outputs inside; what is left to read lazily
-    after the block would no longer find its input.
+    after the block would no longer find its input. Blocks of other threads and
+    enclosing blocks keep their own frames.
     """
-    first = len(_staged)
+    mine: list[str] = []
+    token = _owned.set(mine)
     try:
         yield
     finally:
-        for path in _staged[first:]:
+        _owned.reset(token)
+        for path in mine:
             fs, handle, _ = hadoop_fs(spark, path)
             fs.delete(handle, True)
-        del _staged[first:]
 
 
 @contextmanager

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
+import tempfile
 from collections.abc import Callable
 from functools import cached_property
 
@@ -19,6 +23,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def name_scratch(spark: SparkSession) -> SparkSession:
+    """Give a single-process session without a scratch folder one of its own, dropped at exit.
+
+    A cluster has to name a shared folder in ``spark.checkpoint.dir``.
+    """
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named and re.match(r"local(\[|$)", context.master):
+        folder = tempfile.mkdtemp(prefix="liftplan-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.setCheckpointDir(folder)
+    return spark
+
+
 class Inputs:
     """The given tables of one folder, opened on first use."""
 
@@ -72,7 +90,7 @@ def query(key: str, sql: str | None):
             raise ValueError(f"query {key} is registered twice")
 
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return wire(fn(Inputs(tune(spark), folder)))
+            return wire(fn(Inputs(name_scratch(tune(spark)), folder)))
 
         run.__name__, run.__doc__ = key, fn.__doc__
         QUERIES[key] = run

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from liftplan.llm import exact_dedup, mixing, sharding, token_file, warc
+from liftplan.llm import decontaminate, exact_dedup, license_scan, mixing, ngram_join, sharding, substring_dedup, token_file, toxicity, warc
 from liftplan.llm.shared import prepare, table
 from liftplan.session import scratch_path
 
@@ -83,3 +83,37 @@ def warc_splits(spark, folder):
     warc.write_warc(table(spark, folder, "pages"), path)
     made = warc.read_warc(spark, path, with_payload=False)
     return made.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op1_ngram_jaccard")
+def jaccard(spark, folder):
+    """Components of documents linked by shingle Jaccard similarity of 0.75 or more."""
+    return ngram_join.ngram_jaccard(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op3_toxicity")
+def toxic(spark, folder):
+    """Toxicity scores of all documents; labels are learned from rows that are not held out."""
+    docs = table(spark, folder, "documents")
+    return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
+@query("op7_benchmark_decontamination")
+def decontamination(spark, folder):
+    """Documents and the benchmark items that they contain."""
+    made = decontaminate.contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return made.select("doc_id", "item_id", "shared", "n_item", "containment")
+
+
+@query("op9_substring_dedup")
+def substrings(spark, folder):
+    """Words left in each document when repeated 20-word windows go."""
+    made = substring_dedup.substring_dedup(table(spark, folder, "documents"), with_text=False)
+    return made.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op10_license_scan")
+def licenses(spark, folder):
+    """License phrases and notices in each document."""
+    made = license_scan.license_scan(table(spark, folder, "documents"))
+    return made.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,4 +29,23 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-__all__ = ["ARROW_BATCH_BYTES", "ascii_lower", "prepare", "stage", "table"]
+def filled_bits(values: DataFrame, bits: int = 1 << 23) -> np.ndarray:
+    """Bitmap of a fixed number of bits (1 MB) with the bit of every value of the only column (long) set.
+
+    It thins out rows before a join: a row whose bit is clear meets no value. The driver holds the bitmap, never the values.
+    """
+    cell = F.pmod(F.col(f"`{values.columns[0]}`"), F.lit(bits))
+    filled = np.zeros(bits // 8, np.uint8)
+    for row in (values.select(cell.alias("cell")).groupBy((F.col("cell") / 32768).cast("int").alias("part"))
+                .agg(F.expr("bitmap_construct_agg(cell % 32768)").alias("bits")).collect()):
+        filled[row["part"] * 4096:(row["part"] + 1) * 4096] = np.frombuffer(bytes(row["bits"]), np.uint8)
+    return filled
+
+
+def bit_of(filled: np.ndarray, value: int) -> bool:
+    """The value's bit is set."""
+    cell = value % (8 * len(filled))
+    return bool(filled[cell >> 3] >> (cell & 7) & 1)
+
+
+__all__ = ["ARROW_BATCH_BYTES", "ascii_lower", "bit_of", "filled_bits", "prepare", "stage", "table"]

@@ -1,7 +1,70 @@
-"""placeholder until all stages exist"""
+"""Training corpus pipeline: toxic texts go, one text of each near-copy group stays, benchmark passages go, sources are mixed, shards are dealt.
+
+Each stage takes the rows that the one before it kept and wrote, and returns the columns of documents; the last one adds the shard.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from liftplan.llm import decontaminate, mixing, ngram_join, sharding, toxicity
+from liftplan.llm.shared import prepare, table
+from liftplan.session import scratch_path, stage
+
+SHARDS = 8
+
+#: Scores and set similarities have no SQL form; the stages are tested against brute force.
 ORACLE_SQL = None
-STAGES = []
 
 
-def query(spark, sf_dir):
-    raise NotImplementedError
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that the toxicity model does not reject."""
+    model = toxicity.fit(docs, table(prepare(spark), sf_dir, "labels"))
+    return docs.where(toxicity.toxicity_score(F.col("text"), model) < 0.5)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of texts linked by shingle similarity."""
+    prepare(spark)
+    return ngram_join.keep_one(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that contain no benchmark item."""
+    return decontaminate.without_items(docs, table(prepare(spark), sf_dir, "benchmark"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows as often as the mix of sources takes them."""
+    prepare(spark)
+    return mixing.take_mix(docs)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows with their virtual slot and shard."""
+    return sharding.with_shards(docs, scratch_path(prepare(spark), "slot-map"), SHARDS)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("ngram_jaccard", one_of_each_group),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix),
+    ("sharding", shard),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; what a stage returns is written and read again by the next."""
+    docs = table(prepare(spark), sf_dir, "documents")
+    for i, (name, function) in enumerate(STAGES):
+        docs = function(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            docs = stage(docs, f"pipeline-{name}")
+    return docs
+
+
+def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pipeline as a registered query."""
+    return run(spark, sf_dir)

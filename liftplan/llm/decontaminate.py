@@ -8,10 +8,14 @@ at least one, so the search loses nothing. Candidates are verified by exact cont
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.functions import pandas_udf
 
 from liftplan.llm.words import Words, as_bytes, shingle_sets, spans
 
@@ -125,4 +129,25 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     return found.withColumn("containment", F.col("shared") / F.col("n_item"))
 
 
-__all__ = ["ItemIndex", "contained_items", "sketch_size"]
+
+
+def without_items(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+                  shingle: int = SHINGLE, threshold: tuple[int, int] = THRESHOLD, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """The rows, with all columns, whose texts contain no item (see contained_items). Nothing is moved between tasks."""
+    context = docs.sparkSession.sparkContext
+    kept = docs
+    for block in _blocks(items.select(F.col(f"`{item_col}`").cast("long"), F.col(f"`{item_text_col}`")), shingle, block_shingles):
+        kept = kept.where(~_contains(context.broadcast(block), shingle, *threshold)(F.col(f"`{text_col}`")))
+    return kept
+
+
+def _contains(block, shingle: int, num: int, den: int):
+    @pandas_udf("boolean")
+    def contains(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        items = ItemIndex(*block.value, num, den)
+        for texts in batches:
+            raw = [t.encode() if isinstance(t, str) else b"" for t in texts]
+            sets = [x for a, b in spans(raw) for x in shingle_sets(Words(raw[a:b], lower=True), shingle)]
+            yield pd.Series([bool(len(x)) and bool(items.search(x)) for x in sets], index=texts.index, dtype=bool)
+
+    return contains

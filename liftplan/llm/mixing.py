@@ -59,6 +59,10 @@ def random_number(doc_id: Column, seed: int) -> Column:
     return (F.conv(F.substring(digest, 1, 12), 16, 10).cast("long") + 0.5) / float(1 << 48)
 
 
+def _least_key(doc_id: Column) -> Column:
+    return F.coalesce(doc_id, F.lit(-(1 << 63)))
+
+
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", favour_col: str | None = None,
                 weights: Sequence[int] = WEIGHTS, most: int = MOST_COPIES, seed: int = 7, buckets: int = BUCKETS) -> DataFrame:
     """doc_id, source, size, source_size, target, copies and taken (size * copies) of each row; reruns agree.
@@ -67,19 +71,32 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     and is taken or not without changing any sum; null sources are one source, the last; equal ids have equal random numbers and
     stand in the order of their texts' hashes. An empty table gives an empty result.
     """
-    text, favour = F.col(f"`{text_col}`"), F.col(f"`{favour_col}`").cast("double") if favour_col else F.lit(1.0)
+    return _mixed(docs, id_col, text_col, source_col, favour_col, weights, most, seed, buckets).select(
+        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def _favour(favour_col: str | None) -> Column:
+    favour = F.col(f"`{favour_col}`").cast("double") if favour_col else F.lit(1.0)
+    return F.coalesce(F.when(favour > 0, favour), F.lit(1.0))
+
+
+def _rank(doc_id: Column, part: Column, favour: Column, seed: int) -> Column:
+    """Random odds over inclusion odds; null where nothing more than whole copies is wanted."""
+    u = random_number(doc_id, seed)
+    return F.when(part > 0, (u / (1 - u)) / (part / (1 - part) * favour))
+
+
+def _mixed(docs, id_col, text_col, source_col, favour_col, weights, most, seed, buckets) -> DataFrame:
+    text = F.col(f"`{text_col}`")
     rows = stage(docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{source_col}`").cast("string").alias("source"),
-                             word_count(text).alias("size"), F.md5(F.coalesce(text, F.lit(""))).alias("tie"),
-                             F.coalesce(F.when(favour > 0, favour), F.lit(1.0)).alias("favour")), "mix-sizes")
+                             word_count(text).alias("size"), F.md5(F.coalesce(text, F.lit(""))).alias("tie"), _favour(favour_col).alias("favour")), "mix-sizes")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, most)
     times = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     targets = stage(targets.withColumn("whole", F.floor(times)).withColumn("part", times - F.col("whole"))
                     .withColumn("wanted", F.col("target") - F.col("whole") * F.col("source_size")), "mix-targets")
-    odds = F.col("part") / (1 - F.col("part")) * F.col("favour")
-    u = random_number(F.col("doc_id"), seed)
     ranked = (rows.join(targets, rows["source"].eqNullSafe(targets["source"])).drop(targets["source"])
-              .withColumn("rank", F.when(F.col("part") > 0, (u / (1 - u)) / odds))
+              .withColumn("rank", _rank(F.col("doc_id"), F.col("part"), F.col("favour"), seed))
               # rank / (1 + rank) runs from 0 to 1; documents of which nothing more is wanted stand last.
               .withColumn("bucket", F.coalesce(F.floor(F.col("rank") / (1 + F.col("rank")) * buckets), F.lit(buckets)).cast("int")))
     inside = Window.partitionBy("source_no", "bucket").orderBy("rank", "doc_id", "tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -88,9 +105,25 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sums = sums.select("source_no", "bucket", (F.sum("bucket_size").over(along) - F.col("bucket_size")).alias("before_bucket"))
     before = F.col("before_bucket") + F.sum("size").over(inside) - F.col("size")
     more = (F.col("part") > 0) & (F.col("before") + F.col("size") / 2 <= F.col("wanted"))
-    return (ranked.join(sums, ["source_no", "bucket"]).withColumn("before", before)
-            .withColumn("copies", (F.col("whole") + F.when(more, 1).otherwise(0)).cast("int"))
-            .select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"), "tie"))
+    return (ranked.join(sums, ["source_no", "bucket"]).withColumn("before", before).withColumn("more", more)
+            .withColumn("copies", (F.col("whole") + F.when(F.col("more"), 1).otherwise(0)).cast("int")))
+
+
+def take_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", favour_col: str | None = None,
+             weights: Sequence[int] = WEIGHTS, most: int = MOST_COPIES, seed: int = 7, buckets: int = BUCKETS) -> DataFrame:
+    """The rows themselves, with all columns, each as often as the mix takes it.
+
+    The mix comes down to one last place per source in the rank order, so texts are read where they lie and not moved. Rows that repeat an id and
+    a text have one place and are taken alike.
+    """
+    mixed = _mixed(docs, id_col, text_col, source_col, favour_col, weights, most, seed, buckets)
+    last = F.max(F.when(F.col("more"), F.struct("rank", _least_key(F.col("doc_id")).alias("id"), "tie")))
+    cuts = stage(mixed.groupBy(F.col("source").alias("__source")).agg(F.first("whole").alias("__whole"), F.first("part").alias("__part"), last.alias("__last")), "mix-cuts")
+    doc_id, text = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")
+    own = F.struct(_rank(doc_id, F.col("__part"), _favour(favour_col), seed).alias("rank"), _least_key(doc_id).alias("id"), F.md5(F.coalesce(text, F.lit(""))).alias("tie"))
+    copies = (F.col("__whole") + F.when((F.col("__part") > 0) & (own <= F.col("__last")), 1).otherwise(0)).cast("int")
+    taken = docs.join(cuts, F.col(f"`{source_col}`").cast("string").eqNullSafe(F.col("__source")))
+    return taken.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), copies))).select(*[docs[f"`{c}`"] for c in docs.columns])
 
 
 def oracle(weights: Sequence[int] = WEIGHTS, most: int = MOST_COPIES, seed: int = 7) -> str:

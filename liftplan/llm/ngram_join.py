@@ -19,10 +19,12 @@ import heapq
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.functions import pandas_udf
 
 from liftplan.llm.components import components
 from liftplan.llm.shared import bit_of, filled_bits, stage
@@ -409,15 +411,8 @@ class _Join:
         return stage(by_query.mapInArrow(_search(self.frequent, self.bits), "a long, b long"), "join-links")
 
 
-def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, sketch_bits: int | None = None,
-                  short_list: int = SHORT_LIST) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, class (of equal sets) and group (of linked classes).
-
-    ``component_id`` is the smallest id reachable by links, the row's own included. A text with fewer words than a shingle has one,
-    its whole sequence; a null or empty text has none, is its own component and has a null class. Null ids are never a
-    component's name unless it has no other. Repeated rows are linked to each other. An empty table gives an empty result; other columns are not read.
-    """
-    join = _Join(docs, id_col, text_col, shingle, sketch_bits, short_list)
+def _groups(join: _Join) -> DataFrame:
+    """class, group and component_id of every class."""
     lists = join.candidates()
     first = join.links(stage(join.open_pairs(lists.where("kind = 0").select("x", "y")), "join-pairs"))
     grouped = stage(components(first), "join-components")
@@ -432,7 +427,46 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     named = (join.classes.join(grouped, F.col("class") == F.col("node"), "left")
              .select("class", "least_doc", F.coalesce("component", "class").alias("group")))
     least = named.groupBy("group").agg(F.min("least_doc").alias("component_id"))
-    named = named.join(least, "group").select("class", "group", "component_id")
-    return (join.members.join(named, "class", "left")
+    return named.join(least, "group").select("class", "group", "component_id")
+
+
+def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, sketch_bits: int | None = None,
+                  short_list: int = SHORT_LIST) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id, class (of equal sets) and group (of linked classes).
+
+    ``component_id`` is the smallest id reachable by links, the row's own included. A text with fewer words than a shingle has one,
+    its whole sequence; a null or empty text has none, is its own component and has a null class. Null ids are never a
+    component's name unless it has no other. Repeated rows are linked to each other. An empty table gives an empty result; other columns are not read.
+    """
+    join = _Join(docs, id_col, text_col, shingle, sketch_bits, short_list)
+    return (join.members.join(_groups(join), "class", "left")
             .select("doc_id", F.col("n").cast("long").alias("n_shingles"),
                     F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "class", "group"))
+
+
+def class_column(text: Column, shingle: int = SHINGLE) -> Column:
+    """Class of a text's shingle set; null for a text without words."""
+    @pandas_udf("long")
+    def name(texts):
+        raw = [t.encode() if isinstance(t, str) else b"" for t in texts]
+        sets = [x for a, b in spans(raw) for x in shingle_sets(Words(raw[a:b], lower=True), shingle)]
+        return pd.Series([class_of(x) if len(x) else None for x in sets], index=texts.index, dtype="Int64")
+
+    return name(text)
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """One row of each group of linked texts, with all columns: the one with the smallest id.
+
+    Rows without words all stay. Where several rows have that id, the one with the smallest class and text hash stays.
+    """
+    groups = _groups(_Join(docs, id_col, text_col, shingle, None, SHORT_LIST)).select(
+        F.col("class").alias("__class"), F.col("group").alias("__group"), F.col("component_id").alias("__least"))
+    named = docs.withColumn("__class", class_column(F.col(f"`{text_col}`"), shingle)).join(groups, "__class", "left")
+    # Nearly always a single row of each group passes the test, so a group of any size is one row when rows meet.
+    first = named.where(F.col("__class").isNull() | F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__least")))
+    # Rows without words get a group of their own each.
+    alone = F.when(F.col("__class").isNull(), F.monotonically_increasing_id())
+    place = F.row_number().over(Window.partitionBy(F.col("__group"), F.col("__alone")).orderBy("__class", F.xxhash64(F.col(f"`{text_col}`"))))
+    return (first.withColumn("__alone", alone).withColumn("__place", place).where("__place = 1")
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -78,9 +78,12 @@ def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_slo
     Null text counts as empty. The slot goes by the id; a null id takes the text instead, so that such rows spread too.
     """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    return (docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"))
-            .select("doc_id", (F.octet_length("text") + 1).cast("long").alias("size"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
-                    virtual_slot(F.coalesce(F.col("doc_id"), F.xxhash64("text")), n_slots).alias("virtual_slot")))
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
+                       F.crc32(text.cast("binary")).alias("text_crc32"), _row_slot(id_col, text, n_slots).alias("virtual_slot"))
+
+
+def _row_slot(id_col: str, text: Column, n_slots: int) -> Column:
+    return virtual_slot(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.xxhash64(text)), n_slots)
 
 
 def shard_documents(docs: DataFrame, map_path: str, n_shards: int, id_col: str = "doc_id", text_col: str = "text",
@@ -99,3 +102,16 @@ def shard_documents(docs: DataFrame, map_path: str, n_shards: int, id_col: str =
     # The slot table has n_slots rows, so it may be sent to every task.
     return (rows.withColumn("in_slot", in_slot).join(F.broadcast(slots), "virtual_slot")
             .select("doc_id", "size", "text_crc32", "virtual_slot", "shard", (F.col("before") + F.col("in_slot") - 1).alias("place")))
+
+
+def with_shards(docs: DataFrame, map_path: str, n_shards: int, id_col: str = "doc_id", text_col: str = "text", n_slots: int = N_SLOTS) -> DataFrame:
+    """The rows, with all columns, and their virtual_slot and shard; texts are read where they lie. The map is stored at ``map_path``.
+
+    Columns of ``docs`` with these two names are replaced.
+    """
+    save_map(docs.sparkSession, map_path, slot_stats(stage(sized(docs, id_col, text_col, n_slots), "shard-sizes"), n_slots), n_shards)
+    slots = read_map(docs.sparkSession, map_path, 1).select(F.col("virtual_slot").alias("__slot"), F.col("shard").alias("__shard"))
+    own = [c for c in docs.columns if c.lower() not in ("virtual_slot", "shard")]
+    placed = docs.withColumn("__own", _row_slot(id_col, F.coalesce(F.col(f"`{text_col}`"), F.lit("")), n_slots))
+    return (placed.join(F.broadcast(slots), F.col("__own") == F.col("__slot"))
+            .select(*[F.col(f"`{c}`") for c in own], F.col("__slot").alias("virtual_slot"), F.col("__shard").alias("shard")))

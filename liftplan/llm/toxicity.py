@@ -23,15 +23,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
 from liftplan.llm.shared import stage
+from liftplan.llm.words import Words, as_bytes, shingle_sets, spans
 
 #: Labelled rows that a model is fitted on, at most: those with the smallest hashes of their ids.
 TRAIN_ROWS = 40_000
 #: Terms and stems of the lexicon, at most: those that mark the most toxic rows.
 LEXICON_SIZE = 2_000
-#: A term marks at least so many labelled toxic rows, and is toxic in at least this share of the rows that have it.
-LEAST_ROWS, LEAST_SHARE = 4, 0.8
+#: A term is in the lexicon if the lower end of a confidence interval (so many deviations) of its share of toxic rows is this high.
+LEAST_SHARE, DEVIATIONS = 0.55, 2.5
+#: A stem is one only if it marks so many times the rows of its most frequent word.
+STEM_GAIN = 1.5
 STEM_LENGTHS = (4, 5, 6)
-#: Words from this length on may differ from a term by one edit.
+#: Words from this length on may differ by one edit from terms and stems from this length on.
 FUZZY_LENGTH = 5
 #: Words on each side of a hit that decide between quotation and abuse.
 CONTEXT = 6
@@ -98,10 +101,11 @@ class Matcher:
         stack = [(self.root, tuple(range(len(word) + 1)))]
         while stack:
             node, row = stack.pop()
-            if node.kinds & 1 and row[-1] < best[1]:
+            own = most if row[0] >= self.fuzzy_length else 0  # row[0] is the length of what the path spells
+            if node.kinds & 1 and row[-1] <= own and row[-1] < best[1]:
                 best = (1, row[-1])
-            # A stem may end anywhere in the word, but not so early that edits swallow its end.
-            if node.kinds & 2 and (least := min(row[1:], default=9)) < best[1]:
+            # A stem may end anywhere in the word.
+            if node.kinds & 2 and (least := min(row)) <= own and least < best[1]:
                 best = (2, least)
             for c, child in node.children.items():
                 new = [row[0] + 1]
@@ -194,13 +198,42 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
 
+def _marked():
+    """Rows with the smallest shingle hash of their text; copies and most near copies have the same one."""
+    def run(batches):
+        for batch in batches:
+            texts = as_bytes(batch.column(0))
+            sets = [own for a, b in spans(texts) for own in shingle_sets(Words(texts[a:b], lower=True))]
+            least = pa.array([int(x[0].view(np.int64)) if len(x) else None for x in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, least], names=["text", "toxic", "mark"])
+    return run
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, most: int) -> DataFrame:
-    """text and toxic of at most ``most`` labelled rows, none of them held out."""
+    """text and toxic of at most ``most`` labelled rows, none of them held out; of rows with one mark (near copies) one stays."""
     usable = (labels.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
               .where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     picked = usable.withColumn("order", F.xxhash64("doc_id")).orderBy("order", "doc_id").limit(most).select("doc_id", "toxic")
     # At most ``most`` rows of two numbers: sent to every task instead of moving the texts.
-    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).join(F.broadcast(picked), "doc_id").select("text", "toxic")
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).join(F.broadcast(picked), "doc_id")
+    marked = rows.select("text", "toxic").mapInArrow(_marked(), "text string, toxic int, mark long")
+    return marked.groupBy("mark").agg(F.min(F.struct("text", "toxic")).alias("row")).select("row.text", "row.toxic")
+
+
+def choose_lexicon(counts: dict[str, int]) -> tuple[list[str], list[str]]:
+    """Terms and stems of the strong entries (stems begin with a full stop) and the toxic rows that each marks."""
+    terms = {t: n for t, n in counts.items() if not t.startswith(".")}
+    stems: dict[str, int] = {}
+    for stem, n in sorted(((t[1:], n) for t, n in counts.items() if t.startswith(".")), key=lambda x: (-len(x[0]), x[0])):
+        below = [t for t in stems if t.startswith(stem)]
+        if n < STEM_GAIN * max((m for t, m in terms.items() if t.startswith(stem)), default=0):
+            continue
+        if any(stems[t] >= 0.95 * n for t in below):
+            continue
+        for t in below:
+            del stems[t]
+        stems[stem] = n
+    return sorted(t for t in terms if not any(t.startswith(x) for x in stems)), sorted(stems)
 
 
 def _terms():
@@ -228,14 +261,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """A model from labelled rows that are not held out; without any, or with one class only, every text scores that class's share."""
     train = stage(training_rows(docs, labels, id_col, text_col, train_rows), "toxicity-train")
     counted = train.mapInArrow(_terms(), "term string, toxic long, other long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-    share = F.col("toxic") / (F.col("toxic") + F.col("other"))
-    strong = counted.where((F.col("toxic") >= LEAST_ROWS) & (share >= LEAST_SHARE)).orderBy(F.desc("toxic"), "other", "term").limit(lexicon_size).collect()
-    stems = sorted((r["term"][1:] for r in strong if r["term"].startswith(".")), key=len)
-    # A longer stem says no more than a shorter one that begins it; a term may still be closer to a misspelled word.
-    stems = [s for i, s in enumerate(stems) if not any(s.startswith(t) for t in stems[:i])]
-    terms = [r["term"] for r in strong if not r["term"].startswith(".")]
-    terms = [t for t in terms if not any(t.startswith(s) and len(t) > len(s) + 2 for s in stems)]
-    model = ToxicityModel(sorted(terms), sorted(stems), [0.0] * N_FEATURES, 0.0)
+    n, z = F.col("toxic") + F.col("other"), DEVIATIONS
+    share = F.col("toxic") / n
+    lower = (share + z * z / (2 * n) - z * F.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+    strong = counted.where(lower >= LEAST_SHARE).orderBy(F.desc("toxic"), "other", "term").limit(lexicon_size).collect()
+    terms, stems = choose_lexicon({r["term"]: r["toxic"] for r in strong})
+    model = ToxicityModel(terms, stems, [0.0] * N_FEATURES, 0.0)
     model.name = f"{zlib.crc32(repr((model.terms, model.stems)).encode()):08x}"
 
     def measure(batches):

@@ -41,31 +41,17 @@ def distinct_subset(df: DataFrame, keys: Sequence[str],
 
 def keep_unmeasured(df: DataFrame, measures: Sequence[str], first_keys: Sequence[str],
                     first_order: Sequence[Column], second_keys: Sequence[str],
-                    second_order: Sequence[Column], tiebreak: Sequence[str] | None = None,
-                    derived: Sequence[str] = ()) -> DataFrame:
+                    second_order: Sequence[Column], tiebreak: Sequence[str] | None = None) -> DataFrame:
     """Two rounds of best-row-per-key that never lose rows without measures.
 
     A row whose measures are all null is kept whatever its rank. Any other row
     must win both rounds. Rows without measures still compete, as a ranking
-    over the whole frame demands.
-
-    ``derived`` names key columns computed from the measures, so that rows
-    without measures hold null there. Such rows can then meet a measured row
-    only where its first-round derived keys are null too, and never in the
-    second round. If a look at ``df`` finds no such measured row, the rows
-    without measures skip both rankings.
+    over the whole frame demands; where they share a key of nulls, the bounded
+    row number leaves one of them per map task.
     """
     bare = F.lit(True)
     for m in measures:
         bare = bare & F.col(m).isNull()
-    unmeasured, contenders = df.where(bare), df
-    if derived and all(any(k == d for k in second_keys) for d in derived):
-        meets = ~bare
-        for k in first_keys:
-            if k in derived:
-                meets = meets & F.col(k).isNull()
-        if df.where(meets).isEmpty():
-            contenders = df.where(~bare)
-    round_one = top1_per_key(contenders, first_keys, first_order, tiebreak)
+    round_one = top1_per_key(df, first_keys, first_order, tiebreak)
     round_two = top1_per_key(round_one, second_keys, second_order, tiebreak)
-    return round_two.where(~bare).unionByName(unmeasured)
+    return round_two.where(~bare).unionByName(df.where(bare))

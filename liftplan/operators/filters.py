@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from liftplan.functions.dates import as_of_date, parse_yyyymmdd
+from liftplan.functions.dates import as_of_date, parse_yyyymmdd, text_yyyymmdd
 from liftplan.functions.keys import _c
 
 
@@ -54,7 +54,18 @@ def in_period(c: Column | str, as_of: date | str | None, back_days: int = 100,
 
 def text_date_between(c: Column | str, low: str, high: str) -> Column:
     """Range test on ``yyyyMMdd`` text, compared as dates."""
-    return parse_yyyymmdd(c).between(F.lit(low).cast("date"), F.lit(high).cast("date"))
+    return date_text_range(c, F.lit(low).cast("date"), F.lit(high).cast("date"))
+
+
+def date_text_range(c: Column | str, low: Column | None, high: Column) -> Column:
+    """``yyyyMMdd`` text from ``low`` (None: from the first) to ``high``, both dates.
+
+    The order of such texts is the order of their dates, so the plain text bounds in front reach the file scan; the parsed
+    date behind them still turns malformed text away.
+    """
+    parsed = parse_yyyymmdd(c)
+    test = (_c(c) <= text_yyyymmdd(high)) & (parsed <= high)
+    return test if low is None else (_c(c) >= text_yyyymmdd(low)) & (parsed >= low) & test
 
 
 def year_is(year: int, *columns: Column | str) -> Column:

@@ -12,6 +12,10 @@ from liftplan.operators.columns import common_columns
 from liftplan.operators.dedup import top1_per_key
 
 
+#: Keys over which rows without details are spread.
+FILLERS = 256
+
+
 def _all(tests: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, tests)
 
@@ -28,9 +32,9 @@ def lookup(df: DataFrame, dim: DataFrame, on: Mapping[str, str], take: Mapping[s
     ``one_to_one``  order that picks one dimension row per key, so the join
               cannot multiply rows.
     ``details``  ``dim`` is a detail table that may hold very many rows of one
-              key. A left join is then built as an inner join, where Spark can
-              split a hot key of either side, plus the rows of ``df`` without
-              details.
+              key. A left join is then built as one inner join, where Spark can
+              split a hot key of either side: rows of ``df`` without details
+              meet filler rows, spread over ``FILLERS`` keys. ``df`` is read once.
 
     The dimension's columns are renamed before the join, so one dimension can
     be looked up any number of times. No side is broadcast by hint: sizes seen
@@ -47,8 +51,7 @@ def lookup(df: DataFrame, dim: DataFrame, on: Mapping[str, str], take: Mapping[s
     )
     match = _all([F.col(left) == F.col(k) for left, k in keys.items()])
     if details and how == "left":
-        bare = df.join(right.select(*keys.values()).distinct(), match, "left_anti")
-        joined = df.join(right, match, "inner").unionByName(bare, allowMissingColumns=True)
+        joined = _with_fillers(df, right, keys)
     else:
         joined = df.join(right, match, how)
     if filled:
@@ -56,6 +59,20 @@ def lookup(df: DataFrame, dim: DataFrame, on: Mapping[str, str], take: Mapping[s
     return joined.drop(*keys.values(), *[taken[n] for n in filled])
 
 
+def _with_fillers(df: DataFrame, right: DataFrame, keys: Mapping[str, str]) -> DataFrame:
+    """Left join as an inner join with filler rows; ``keys`` maps columns of ``df`` to those of ``right``."""
+    names = list(keys.values())
+    known = right.where(_all([F.col(k).isNotNull() for k in names]))
+    # One row per key: the left side of this join can be split.
+    met = known.select(*names).distinct().withColumnsRenamed({k: f"__met{k}" for k in names}).withColumn("__has", F.lit(True))
+    marked = df.join(met, _all([F.col(c) == F.col(f"__met{k}") for c, k in keys.items()]), "left").withColumn(
+        "__spread", F.when(F.col("__has").isNull(), F.monotonically_increasing_id() % FILLERS).otherwise(F.lit(-1)).cast("long"))
+    fillers = df.sparkSession.range(FILLERS).toDF("__filler")
+    rows = known.withColumn("__filler", F.lit(-1).cast("long")).unionByName(fillers, allowMissingColumns=True)
+    match = _all([F.col("__spread") == F.col("__filler"), *[F.col(f"__met{k}").eqNullSafe(F.col(k)) for k in names]])
+    return marked.join(rows, match, "inner").drop("__has", "__spread", "__filler", *[f"__met{k}" for k in names])
+
+
 def full_join_fill(a: DataFrame, b: DataFrame, on: Mapping[str, str],
                    fill: Mapping[str, tuple[str, str]] | None = None,
                    unique_keys: bool = False) -> DataFrame:

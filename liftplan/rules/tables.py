@@ -51,9 +51,6 @@ HALF_MONTH_DAYS = {1: "H1", 16: "H2"}
 DECADE_DAYS = {1: "D1", 11: "D2"}
 DECADE_REST = "D3"
 
-# Merged plants.
-PLANT_MERGES = {"D333": "D361"}
-
 # Upper-case grade to product label; a sub-grade replaces GTL.
 PRODUCT_LABELS = {
     "AGO": "Diesel",

@@ -1,7 +1,7 @@
 from liftplan.sources.catalog import Catalog, TableSpec, curated_scan, patch_rows, read_table
-from liftplan.sources.sinks import append, publish, replace, safe_replace
+from liftplan.sources.sinks import append, publish, replace, safe_replace, write_outputs
 
 __all__ = [
     "Catalog", "TableSpec", "append", "curated_scan", "patch_rows", "publish",
-    "read_table", "replace", "safe_replace",
+    "read_table", "replace", "safe_replace", "write_outputs",
 ]

@@ -10,6 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from liftplan.session import hadoop_fs
+
+#: A table replaced while it is read keeps its rows in a version folder that a pointer file names; scans skip both names.
+POINTER, VERSION = "_current", "_version-"
+
 FILE_FORMATS = ("parquet", "delta", "csv", "avro", "orc", "json")
 
 
@@ -19,7 +24,8 @@ class TableSpec:
 
     ``location`` is a path for file formats and a table name for ``jdbc``.
     For ``jdbc``, ``options`` carries url, driver and credentials from the
-    caller; ``slice_column`` with its bounds makes the read parallel.
+    caller; ``slice_column`` with its bounds makes the read parallel. A read
+    in one task has to be asked for by ``slices=1``.
     """
 
     format: str
@@ -28,7 +34,7 @@ class TableSpec:
     options: Mapping[str, str] = field(default_factory=dict)
     slice_column: str | None = None
     slice_bounds: tuple[object, object] | None = None
-    slices: int = 1
+    slices: int | None = None
 
     def at(self, location: str) -> "TableSpec":
         return _copy(self, location=location)
@@ -78,7 +84,10 @@ class Catalog:
 def jdbc_options(spec: TableSpec) -> dict[str, str]:
     """Reader options of a database table, split over tasks if bounds are known."""
     options = {**spec.options, "dbtable": spec.location}
-    if spec.slice_column and spec.slice_bounds and spec.slices > 1:
+    split = spec.slice_column and spec.slice_bounds and (spec.slices or 0) > 1
+    if not split and spec.slices != 1:
+        raise ValueError(f"{spec.location}: give slice_column, slice_bounds and slices, or slices=1 for one task")
+    if split:
         low, high = spec.slice_bounds
         options |= {
             "partitionColumn": spec.slice_column,
@@ -89,6 +98,21 @@ def jdbc_options(spec: TableSpec) -> dict[str, str]:
     return options
 
 
+def current(spark: SparkSession, spec: TableSpec) -> str:
+    """Folder that holds the rows of a file table now."""
+    if spec.format == "delta":
+        return spec.location
+    fs, pointer, jvm = hadoop_fs(spark, f"{spec.location.rstrip('/')}/{POINTER}")
+    if not fs.exists(pointer):
+        return spec.location
+    stream = fs.open(pointer)
+    try:
+        version = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return f"{spec.location.rstrip('/')}/{version.strip()}"
+
+
 def read_table(spark: SparkSession, catalog: Catalog, name: str) -> DataFrame:
     """Open one catalog table lazily."""
     bound = catalog.frame(name)
@@ -106,7 +130,7 @@ def read_table(spark: SparkSession, catalog: Catalog, name: str) -> DataFrame:
         reader = reader.option("header", "true")
     if spec.schema is not None:
         reader = reader.schema(spec.schema)
-    return reader.options(**spec.options).load(spec.location)
+    return reader.options(**spec.options).load(current(spark, spec))
 
 
 def curated_scan(

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from liftplan.session import hadoop_fs, stage
-from liftplan.sources.catalog import TableSpec
+from liftplan.session import hadoop_fs, stage, staging
+from liftplan.sources.catalog import POINTER, VERSION, TableSpec, current
 
 
 def _writer(df: DataFrame, spec: TableSpec, partition_by: Sequence[str], files: int | None):
@@ -29,7 +29,7 @@ def _writer(df: DataFrame, spec: TableSpec, partition_by: Sequence[str], files:
 def append(df: DataFrame, target: TableSpec, partition_by: Sequence[str] = ()) -> None:
     """Add the rows of ``df`` to the table and keep what is there."""
     writer = _writer(df, target, partition_by, None).mode("append")
-    writer.save() if target.format == "jdbc" else writer.save(target.location)
+    writer.save() if target.format == "jdbc" else writer.save(current(df.sparkSession, target))
 
 
 def replace(df: DataFrame, target: TableSpec, partition_by: Sequence[str] = (),
@@ -50,10 +50,10 @@ def replace(df: DataFrame, target: TableSpec, partition_by: Sequence[str] = (),
 def safe_replace(df: DataFrame, target: TableSpec, partition_by: Sequence[str] = ()) -> None:
     """Replace a table that ``df`` itself may read.
 
-    File formats: the new content is written beside the table, then the two
-    folders change places. The old folder is dropped only after the swap.
-    Database tables: the rows are staged first, then written over.
-    Delta keeps snapshots, so a plain overwrite is already safe.
+    File formats: the new content is written to a version folder inside the table, then one small pointer file is switched in a
+    single rename. Readers see the old version until then and the new one after it; a run that fails before the switch changes
+    nothing, and what it left is dropped by the next call. Database tables: the rows are staged first, then the table is emptied and written in the database's
+    own transaction, if its driver has one. Delta keeps snapshots, so a plain overwrite is already safe.
     """
     if target.format == "jdbc":
         replace(stage(df, "safe-replace"), target)
@@ -61,24 +61,44 @@ def safe_replace(df: DataFrame, target: TableSpec, partition_by: Sequence[str] =
     if target.format == "delta":
         replace(df, target, partition_by)
         return
-    spark, tag = df.sparkSession, uuid.uuid4().hex
-    base = target.location.rstrip("/")
-    fresh, retired = f"{base}__new_{tag}", f"{base}__old_{tag}"
-    replace(df, target.at(fresh), partition_by)
-    fs, live, jvm = hadoop_fs(spark, base)
-    new, old = jvm.org.apache.hadoop.fs.Path(fresh), jvm.org.apache.hadoop.fs.Path(retired)
-    had_old = fs.exists(live)
-    if had_old and not fs.rename(live, old):
-        raise OSError(f"could not move {base} aside")
-    if not fs.rename(new, live):
-        if had_old:
-            fs.rename(old, live)
-        raise OSError(f"could not move the new content to {base}")
-    if had_old:
-        fs.delete(old, True)
+    spark, base = df.sparkSession, target.location.rstrip("/")
+    version = f"{VERSION}{uuid.uuid4().hex}"
+    replace(df, target.at(f"{base}/{version}"), partition_by)
+    _point_to(spark, base, version)
+    fs, live, _ = hadoop_fs(spark, base)
+    for entry in fs.listStatus(live):
+        if entry.getPath().getName() not in (version, POINTER):
+            fs.delete(entry.getPath(), True)
     spark.catalog.refreshByPath(base)
 
 
+def _point_to(spark: SparkSession, base: str, version: str) -> None:
+    """Switch the table's pointer; the rename replaces the old pointer in one step."""
+    fs, fresh, jvm = hadoop_fs(spark, f"{base}/{POINTER}-{version}")
+    out = fs.create(fresh, True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fresh.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(fs.makeQualified(fresh), fs.makeQualified(jvm.org.apache.hadoop.fs.Path(f"{base}/{POINTER}")), options)
+
+
+def write_outputs(spark: SparkSession, job: Callable[[], Mapping[str, DataFrame]], targets: Mapping[str, TableSpec],
+                  partition_by: Mapping[str, Sequence[str]] | None = None) -> None:
+    """Run a job and write each of its frames that has a target, then drop what the job staged.
+
+    A table that the job reads is replaced safely; a frame without a target is not computed.
+    """
+    with staging(spark):
+        made = job()
+        unknown = set(targets) - set(made)
+        if unknown:
+            raise KeyError(f"the job has no outputs {sorted(unknown)}")
+        for name, target in targets.items():
+            safe_replace(made[name], target, (partition_by or {}).get(name, ()))
+
+
 def publish(df: DataFrame, view: str) -> DataFrame:
     """Expose ``df`` to SQL text under ``view``."""
     df.createOrReplaceTempView(view)

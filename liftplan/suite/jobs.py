@@ -17,6 +17,7 @@ from liftplan.suite.joins import _VERSIONS, _versions
 from liftplan.suite.registry import AS_OF, query, rounded
 from liftplan.suite.scans import PART_SCHEMA
 
+MERGED_PLANTS = {"D333": "D361"}
 MOVEMENT = movements.MovementOptions(first_day="1995-01-01")
 CONTRACT = contract_raw.ContractOptions(movement=MOVEMENT)
 SUMMARY = contract_summary.SummaryOptions(
@@ -66,8 +67,8 @@ _PLAN_TEXT = """incoterm, mot, supply_point, depot_property, pricing_period, agr
 
 def _plans(t, year):
     if year == 2022:
-        return plan.run_2022(t.spark, t.domain, replace(plan.PLAN_2022, year=1998))["plan"]
-    return plan.run_2023(t.spark, t.domain, replace(plan.PLAN_2023, year=1999))["plan"]
+        return plan.run_2022(t.spark, t.domain, replace(plan.PLAN_2022, year=1998, plant_merges=MERGED_PLANTS))["plan"]
+    return plan.run_2023(t.spark, t.domain, replace(plan.PLAN_2023, year=1999, plant_merges=MERGED_PLANTS))["plan"]
 
 
 @query("job_plan_2022", with_ctes(f"SELECT {_PLAN_TEXT}, {_round('density', 'plan_m3', 'plan_to')} FROM plan22"))

@@ -89,7 +89,7 @@ def jn_full_expr_key(t):
     sheet = plan.withColumn("plan_material", pad_code("plan_part", 15))
     return full_join_fill(
         padded.drop("part"), sheet.drop("plan_part"), on={"cut": "plan_material", "lift_period": "plan_period"},
-        fill={"material_number": ("material", "plan_material"), "period": ("lift_period", "plan_period")},
+        fill={"material_number": ("material", "plan_material"), "period": ("lift_period", "plan_period")}, unique_keys=True,
     ).select("material_number", "period", "lifted", "planned")
 
 
@@ -119,7 +119,7 @@ SELECT o_orderkey, coalesce(new.o_custkey, old.o_custkey) AS o_custkey,
 FROM old FULL JOIN new USING (o_orderkey)""")
 def jn_full_using_merge(t):
     old, new = _versions(t)
-    return merge_newer(old, new, ["o_orderkey"])
+    return merge_newer(old, new, ["o_orderkey"], unique_keys=True)
 
 
 @query("jn_right_using_merge", """
@@ -175,11 +175,10 @@ def jn_role_playing(t):
 
 
 @query("jn_self_chain", """
-WITH flow AS (SELECT DISTINCT 'C' || o_custkey AS vbelv, 'O' || o_orderkey AS vbeln FROM orders
-              UNION ALL
-              SELECT DISTINCT 'O' || l_orderkey AS vbelv, 'L' || l_orderkey || '-' || l_linenumber AS vbeln FROM lineitem)
+WITH order_flow AS (SELECT DISTINCT 'C' || o_custkey AS vbelv, 'O' || o_orderkey AS vbeln FROM orders),
+line_flow AS (SELECT DISTINCT 'O' || l_orderkey AS vbelv, 'L' || l_orderkey || '-' || l_linenumber AS vbeln FROM lineitem)
 SELECT c_custkey, a.vbeln AS order_doc, b.vbeln AS delivery_doc
-FROM customer LEFT JOIN flow a ON a.vbelv = 'C' || c_custkey LEFT JOIN flow b ON b.vbelv = a.vbeln""")
+FROM customer LEFT JOIN order_flow a ON a.vbelv = 'C' || c_custkey LEFT JOIN line_flow b ON b.vbelv = a.vbeln""")
 def jn_self_chain(t):
     """Document flow joined to itself: customer to order to line."""
     def doc(prefix, *parts):

@@ -106,7 +106,7 @@ def biz_spot_label(t):
 SELECT {_LINE}, CASE WHEN l_suppkey = 3 THEN 'D361' WHEN l_suppkey = 5 THEN 'D361' ELSE 'P' || l_suppkey END AS supply_point FROM lineitem""")
 def biz_plant_remap(t):
     return plan_rules.plant_remap(_lines(t, supply_point="CASE WHEN l_suppkey = 3 THEN 'D333' WHEN l_suppkey = 5 THEN 'D361' "
-                                                         "ELSE 'P' || CAST(l_suppkey AS STRING) END"))
+                                                         "ELSE 'P' || CAST(l_suppkey AS STRING) END"), merges={"D333": "D361"})
 
 
 _CODE = """CASE o_orderpriority WHEN '1-URGENT' THEN CASE o_orderstatus WHEN 'F' THEN '10' WHEN 'O' THEN '11' ELSE '80' END
@@ -495,7 +495,7 @@ def biz_movement_doc_fill(t):
     docs = t.lineitem.where("l_returnflag = 'R'").select(
         F.col("l_orderkey").alias("kdauf"), F.col("l_linenumber").alias("kdpos"), F.expr("'M' || CAST(l_orderkey AS STRING)").alias("mblnr"))
     rows = _lines(t, material_dn="CASE WHEN l_linestatus = 'O' THEN 'D' || CAST(l_orderkey AS STRING) END")
-    return movements.movement_doc_fill(rows, docs, order="l_orderkey", item="l_linenumber").drop("material_dn")
+    return movements.movement_doc_fill(rows, docs.distinct(), order="l_orderkey", item="l_linenumber").drop("material_dn")
 
 
 @query("biz_load_id_backfill", """

@@ -11,7 +11,6 @@ from liftplan.operators.columns import (
 )
 from liftplan.session import scratch_path
 from liftplan.sources import Catalog, TableSpec, append, curated_scan, patch_rows, publish, read_table, replace
-from liftplan.sources.lake import lake_format
 from liftplan.suite.registry import query
 
 ORDERS_SQL = """
@@ -32,7 +31,7 @@ def src_parquet(t):
 @query("src_delta", ORDERS_SQL)
 def src_delta(t):
     """Written and read in the lake format of the session (see sources.lake)."""
-    spec = TableSpec(lake_format(t.spark), scratch_path(t.spark, "src-lake"))
+    spec = TableSpec("parquet", scratch_path(t.spark, "src-lake"))
     replace(_plain_orders(t), spec)
     return read_table(t.spark, Catalog({"orders": spec}), "orders")
 
@@ -78,7 +77,7 @@ def src_read_timestamp(t):
 @query("snk_delta_overwrite", ORDERS_SQL)
 def snk_delta_overwrite(t):
     """A table of other rows and columns is replaced whole."""
-    spec = TableSpec(lake_format(t.spark), scratch_path(t.spark, "snk-lake"))
+    spec = TableSpec("parquet", scratch_path(t.spark, "snk-lake"))
     replace(t.customer, spec)
     replace(_plain_orders(t), spec)
     return read_table(t.spark, Catalog({"orders": spec}), "orders")

@@ -68,7 +68,7 @@ def test_movement_literals(spark):
                                                                 ", ".join(f"{c} string" for c in movements.MOVEMENT_COLUMNS)))
                .bind("movement_quantity", spark.createDataFrame(q, "mblnr string, zeile string, msehi string, adqnt double, bukrs string"))
                .bind("purchase_header", spark.createDataFrame([("x", "20220101", "FCA", "i2")], "ebeln string, aedat string, inco1 string, inco2 string")))
-    got = movements.run(spark, catalog, "2022-10-15")["movements"]
+    got = movements.run(spark, catalog, "2022-10-15", movements.MovementOptions(first_day="2022-09-01"))["movements"]
     assert {(r.mblnr, r.lifting_in_kg, r.lifting_in_cbm, r.lifting_period, r.inco1) for r in got.collect()} == {
         ("m1", 2000.0, 3.0, "2022-10", "FCA"), ("m2", -2000.0, -3.0, "2022-10", "FCA"), ("m6", None, None, "2022-10", "FCA")}
 
@@ -91,3 +91,14 @@ def test_period_exception_list(spark, inputs):
     options = contract_raw.ContractOptions(movement=jobs.MOVEMENT, period_contracts=listed)
     got = contract_raw.run_summed(spark, inputs.domain, AS_OF, options)["contract_rows"]
     assert got.where(F.col("vbeln").isin(listed)).count() > 0
+
+
+def test_movement_days_reach_the_scan(spark, inputs, tmp_path):
+    columns = ", ".join(f"{c} string" for c in movements.MOVEMENT_COLUMNS)
+    spark.createDataFrame([], columns).write.parquet(str(tmp_path / "movement"))
+    catalog = Catalog.of_zone("parquet", str(tmp_path), ["movement"])
+    made = movements.filtered_movements(spark, catalog, "2022-10-15", movements.MovementOptions(first_day="2022-09-01"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(zxbldat,20220901)" in plan and "LessThanOrEqual(zxbldat,20221031)" in plan

@@ -235,6 +235,19 @@ def job_history_mapping(t):
     return read_table(t.spark, catalog, "mapping_history")
 
 
+@query("job_history_mapping_kept", f"""WITH {_VERSIONS}
+SELECT {', '.join(f'coalesce(new.{c}, old.{c}) AS {c}' for c in _THREE.split(', '))},
+  coalesce(new.o_totalprice, old.o_totalprice) AS o_totalprice, coalesce(new.o_orderpriority, old.o_orderpriority) AS o_orderpriority
+FROM old FULL JOIN new USING ({_THREE})""")
+def job_history_mapping_kept(t):
+    """The same on three keys, with the rows that only the history has."""
+    old, new = _versions(t)
+    catalog = _stored(t, delivery_mapping=new, mapping_history=old)
+    merged = history.run_mapping(t.spark, catalog, keys=_THREE.split(", "), keep_history=True)["merged"]
+    history.store(merged, catalog, "mapping_history")
+    return read_table(t.spark, catalog, "mapping_history")
+
+
 @query("job_raw_to_curated", "SELECT c_custkey, c_name, c_nationkey::BIGINT AS c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def job_raw_to_curated(t):
     return ingest.raw_to_curated(t.spark, t.catalog, "customer", TableSpec("parquet", scratch_path(t.spark, "curated")))

@@ -202,6 +202,15 @@ def biz_trigger_plan(t):
         "trigger_contract_num_plan", "trigger_contract_num_plan_to")
 
 
+@query("biz_trigger_plan_without_mode", _TRIGGER.replace(" AND p.mot IS NOT DISTINCT FROM i.mot", "") + """
+SELECT id, line, contract_start_period, material_number, ship_to_number, mot, pricing_period, trigger_contract_num_plan, trigger_contract_num_plan_to FROM joined""")
+def biz_trigger_plan_without_mode(t):
+    """Joined back on four keys only: a key with two modes multiplies its rows."""
+    return plan_rules.trigger_plan(_plan_items(t), match_mode=False).select(
+        "id", "line", "contract_start_period", "material_number", "ship_to_number", "mot", "pricing_period",
+        "trigger_contract_num_plan", "trigger_contract_num_plan_to")
+
+
 @query("biz_trigger_override", _TRIGGER + """
 SELECT id, line, mot, pricing_period, CASE WHEN pricing_period = 'Trigger' OR mot IN ('ITT', 'Barge', 'Rail') THEN trigger_contract_num_plan ELSE avg_plan_m3 END AS avg_plan_m3,
        CASE WHEN pricing_period = 'Trigger' OR mot IN ('ITT', 'Barge', 'Rail') THEN trigger_contract_num_plan_to ELSE avg_plan_to END AS avg_plan_to FROM joined""")

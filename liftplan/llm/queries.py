@@ -17,6 +17,16 @@ LLM_ORACLES: dict[str, str] = {}
 _LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+_WORDS = r"'[^\x20\x09-\x0D]+'"
+
+
+def _shingles_sql(kind: str, id_col: str, table_name: str) -> str:
+    """Distinct five-word shingles of a table's texts: kind, id, h."""
+    return f"""SELECT DISTINCT '{kind}' AS kind, id, md5(array_to_string(CASE WHEN len(words) >= 5 THEN list_slice(words, i, i + 4) ELSE words END, ' ')) AS h
+  FROM (SELECT {id_col} AS id, regexp_extract_all({_LOWER_SQL}, {_WORDS}) AS words FROM {table_name}) w,
+       unnest(range(1, greatest(len(words) - 4, least(len(words), 1)) + 1)) t(i)"""
+
+
 def query(key: str, sql: str | None = None):
     """Register ``fn(spark, folder)`` under ``key``."""
     def register(fn):
@@ -85,7 +95,15 @@ def warc_splits(spark, folder):
     return made.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-@query("op1_ngram_jaccard")
+@query("op1_ngram_jaccard", f"""
+WITH RECURSIVE shingles AS ({_shingles_sql('d', 'doc_id', 'documents')}),
+sizes AS (SELECT id, count(*) AS n FROM shingles GROUP BY id),
+shared_by AS (SELECT a.id AS a, b.id AS b, count(*) AS o FROM shingles a JOIN shingles b ON a.h = b.h AND a.id < b.id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared_by JOIN sizes x ON x.id = a JOIN sizes y ON y.id = b WHERE 100 * o >= 75 * (x.n + y.n - o)),
+ends AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(id, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reached.id, ends.b FROM reached JOIN ends ON reached.r = ends.a)
+SELECT reached.id AS doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(r) AS component_id
+FROM reached LEFT JOIN sizes ON sizes.id = reached.id GROUP BY reached.id""")
 def jaccard(spark, folder):
     """Components of documents linked by shingle Jaccard similarity of 0.75 or more."""
     return ngram_join.ngram_jaccard(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
@@ -98,14 +116,28 @@ def toxic(spark, folder):
     return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, folder, "labels")))
 
 
-@query("op7_benchmark_decontamination")
+@query("op7_benchmark_decontamination", f"""
+WITH docs AS ({_shingles_sql('d', 'doc_id', 'documents')}),
+items AS ({_shingles_sql('i', 'item_id', 'benchmark')}),
+sizes AS (SELECT id, count(*) AS n_item FROM items GROUP BY id),
+met AS (SELECT docs.id AS doc_id, items.id AS item_id, count(*) AS shared FROM docs JOIN items USING (h) GROUP BY 1, 2)
+SELECT doc_id, item_id, shared, n_item, shared::DOUBLE / n_item::DOUBLE AS containment
+FROM met JOIN sizes ON sizes.id = item_id WHERE 100 * shared >= 75 * n_item""")
 def decontamination(spark, folder):
     """Documents and the benchmark items that they contain."""
     made = decontaminate.contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return made.select("doc_id", "item_id", "shared", "n_item", "containment")
 
 
-@query("op9_substring_dedup")
+@query("op9_substring_dedup", f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORDS}) AS words FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(list_slice(words, i, i + 19), ' ')) AS h FROM w, unnest(range(1, len(words) - 18)) t(i)),
+firsts AS (SELECT h, min((doc_id, i)) AS place FROM win GROUP BY h),
+gone AS (SELECT DISTINCT doc_id, j FROM win JOIN firsts USING (h), unnest(range(i, i + 20)) t(j) WHERE (doc_id, i) > place),
+each AS (SELECT doc_id, j, words[j] AS word FROM w, unnest(range(1, len(words) + 1)) t(j)),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS text FROM each ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, (SELECT count(*) FROM gone WHERE gone.doc_id = w.doc_id)::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)""")
 def substrings(spark, folder):
     """Words left in each document when repeated 20-word windows go."""
     made = substring_dedup.substring_dedup(table(spark, folder, "documents"), with_text=False)

@@ -54,77 +54,114 @@ class PieceEncoder:
     """Ids (16 bits each) of texts with a byte-level BPE of at most 65,536 ids; pieces met before are looked up.
 
     The vocabulary's pre-tokeniser ends a token in front of a single blank between two characters that are no white space, on
-    both sides of such a line feed, and between an ASCII letter and a full stop or comma. A text is cut there, and each piece
-    is encoded alone; what it gives is kept, up to ``cache_bytes``. A text with other white space between two blanks keeps that
-    stretch in one piece.
+    both sides of such a line feed, and between an ASCII letter and a full stop or comma. A text is cut there, each piece
+    is encoded alone, and what it gives is kept until ``cache_bytes`` are full. White space of any other kind stays inside a piece.
     """
 
     def __init__(self, tokenizer_path: str, cache_bytes: int = PIECE_CACHE):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.cache_bytes = Tokenizer.from_file(tokenizer_path), cache_bytes
-        if self.tokenizer.get_vocab_size() > 1 << 16:
+        vocabulary = self.tokenizer.get_vocab()
+        if max(vocabulary.values()) >= 1 << 16:
             raise ValueError("the encoder keeps ids in 16 bits")
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[bytes, bytes] = {}
-        #: Ids of whole pieces that begin with a blank, by the piece without it.
+        #: Bytes that each id stands for: a byte-level vocabulary writes a byte as one character.
+        self.id_bytes = np.zeros(1 << 16, np.int64)
+        for token, number in vocabulary.items():
+            self.id_bytes[number] = len(token)
+        #: Ids of pieces that begin with a blank, by the piece without it; and of all others.
         self.after_blank: dict[bytes, bytes] = {}
+        self.other: dict[bytes, bytes] = {}
         self.held = 0
 
-    def _ask(self, pieces: list[bytes]) -> None:
-        """Have the tokenizer encode pieces that are not known yet."""
-        new = [p for p in dict.fromkeys(pieces) if p not in self.known]
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
-            for piece, got in zip(part, self.tokenizer.encode_batch_fast([p.decode("utf-8") for p in part], add_special_tokens=False), strict=True):
-                self.known[piece] = ids = np.array(got.ids, "<u2").tobytes()
-                self.held += len(piece) + len(ids) + 170
+    def _each(self, pieces: list[bytes]) -> list[bytes]:
+        got = self.tokenizer.encode_batch_fast([p.decode("utf-8") for p in pieces], add_special_tokens=False)
+        return [np.array(x.ids, "<u2").tobytes() for x in got]
+
+    def _ask(self, words: list[bytes]) -> list[bytes]:
+        """Ids of pieces " word", many in one string: a blank always begins a token, so the bytes of the ids tell the pieces apart."""
+        out: list[bytes] = []
+        groups = [words[i:i + 64] for i in range(0, len(words), 64)]
+        for i in range(0, len(groups), 256):
+            part = groups[i:i + 256]
+            texts = [b" " + b" ".join(g) for g in part]
+            for group, got in zip(part, self.tokenizer.encode_batch_fast([t.decode("utf-8") for t in texts], add_special_tokens=False), strict=True):
+                ids = np.array(got.ids, "<u2")
+                reached = np.cumsum(self.id_bytes[ids])
+                wanted = np.cumsum([len(w) + 1 for w in group])
+                at = np.searchsorted(reached, wanted)
+                if not (reached[-1] == wanted[-1] and (reached[at] == wanted).all()):
+                    out += self._each([b" " + w for w in group])
+                    continue
+                raw, ends = ids.tobytes(), [0, *(2 * at + 2).tolist()]
+                out += [raw[a:b] for a, b in zip(ends, ends[1:])]
+        return out
 
     @staticmethod
     def _parts(piece: bytes) -> list[bytes]:
         """A piece cut at its line feeds and before a last full stop or comma."""
-        lines = piece.split(b"\n")
+        lines = piece.split(b"\n") if b"\n" in piece else [piece]
         if not all(map(_ends_solid, lines)):
             return [piece]
         out = []
         for i, line in enumerate(lines):
             if i:
                 out.append(b"\n")
-            if line[-1] in b".," and len(line) > 1 and line[-2:-1].isalpha():
+            if line[-1] in b".," and line[-2:-1].isalpha():
                 out += [line[:-1], line[-1:]]
             else:
                 out.append(line)
         return out
 
+    def _learn(self, pieces: dict[bytes, list[bytes]]) -> dict[bytes, bytes]:
+        """Ids of pieces that are not known, given with their parts."""
+        parts = {p for ps in pieces.values() for p in ps}
+        blank = {p[1:]: None for p in parts if p[:1] == b" " and _ends_solid(p)}
+        words = [w for w in blank if w not in self.after_blank]
+        rest = [p for p in parts if p not in self.other and not (p[:1] == b" " and p[1:] in blank)]
+        got_words, got_rest = dict(zip(words, self._ask(words), strict=True)), dict(zip(rest, self._each(rest), strict=True))
+        if self.held < self.cache_bytes:
+            self.after_blank.update(got_words)
+            self.other.update((p, x) for p, x in got_rest.items() if len(p) < 40)
+            self.held += sum(len(w) + len(x) + 190 for d in (got_words, got_rest) for w, x in d.items())
+
+        def ids(part: bytes) -> bytes:
+            if part[:1] == b" " and part[1:] in blank:
+                return got_words[part[1:]] if part[1:] in got_words else self.after_blank[part[1:]]
+            return got_rest[part] if part in got_rest else self.other[part]
+
+        return {piece: ids(ps[0]) if len(ps) == 1 else b"".join(map(ids, ps)) for piece, ps in pieces.items()}
+
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        if self.held > self.cache_bytes:
-            self.known, self.after_blank, self.held = {}, {}, 0
-        split, missing = [], set()
+        split, missing, whole_pieces = [], set(), set()
+        known = self.after_blank.get
         for text in texts:
             if all_cut(np.frombuffer(text, np.uint8)):
                 first, *words = text.split(b" ")
-                got = list(map(self.after_blank.get, words))
+                got = list(map(known, words))
                 if None in got:
-                    missing.update(w for w, g in zip(words, got, strict=True) if g is None)
+                    missing.update([w for w, g in zip(words, got) if g is None])
                 whole = [first]
             else:
                 got = []
                 first, *words = text.split(b" ")
                 whole, words = _joined([first, *(b" " + w for w in words)]), []
+            whole_pieces.update(whole)
             split.append((whole, words, got))
-        parts = {w: self._parts(b" " + w) for w in missing}
-        heads = {w: self._parts(w) for whole, _, _ in split for w in whole if w}
-        self._ask([p for ps in parts.values() for p in ps] + [p for ps in heads.values() for p in ps])
-        known = self.known
-        for w, ps in parts.items():
-            self.after_blank[w] = ids = b"".join(map(known.__getitem__, ps))
-            self.held += len(w) + len(ids) + 170
+        whole_pieces.discard(b"")
+        made = self._learn({p: self._parts(p) for w in missing for p in (b" " + w,)} | {p: self._parts(p) for p in whole_pieces})
+        made[b""] = b""
+        fresh = {w: made[b" " + w] for w in missing}
+        if self.held < self.cache_bytes:
+            kept = {w: x for w, x in fresh.items() if b"\n" not in w and w not in self.after_blank}
+            self.after_blank.update(kept)
+            self.held += sum(len(w) + len(x) + 190 for w, x in kept.items())
         out = []
         for whole, words, got in split:
-            head = [known[p] for w in whole if w for p in heads[w]]
             if None in got:
-                got = map(self.after_blank.__getitem__, words)
-            out.append(np.frombuffer(b"".join([*head, *got]), "<u2").astype(np.uint32))
+                got = [fresh[w] if g is None else g for w, g in zip(words, got)]
+            out.append(np.frombuffer(b"".join([*map(made.__getitem__, whole), *got]), "<u2").astype(np.uint32))
         return out
 
 

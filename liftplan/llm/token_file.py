@@ -28,7 +28,7 @@ from liftplan.llm.words import as_bytes, spans
 BLOCK_IDS = 4096
 CHUNK_IDS = 1 << 18
 #: Bytes of pieces whose ids a task keeps at hand.
-PIECE_CACHE = 160 << 20
+PIECE_CACHE = 240 << 20
 
 
 def to_planes(ids: np.ndarray, block: int = BLOCK_IDS) -> list[bytes]:
@@ -138,7 +138,8 @@ class PieceEncoder:
         known = self.after_blank.get
         for text in texts:
             if all_cut(np.frombuffer(text, np.uint8)):
-                first, *words = text.split(b" ")
+                words = text.split(b" ")
+                first = words.pop(0)
                 got = list(map(known, words))
                 if None in got:
                     missing.update([w for w, g in zip(words, got) if g is None])
@@ -226,7 +227,7 @@ _CHUNK_SQL = "part long, chunk long, first long, n_ids long, block int, planes a
 
 def _write(tokenizer_path: str, end_id: int, block: int, chunk_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, press = _encoder(tokenizer_path), zstandard.ZstdCompressor(level=3)
+        encoder, press = _encoder(tokenizer_path), zstandard.ZstdCompressor(level=1)
         part, chunk, first = TaskContext.get().partitionId(), 0, 0
         doc_ids, held, n = [], [], 0
 

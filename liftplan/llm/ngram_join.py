@@ -9,8 +9,9 @@ of its first n - T + 1; only these go into inverted lists, dealt over shards by
    sketches of the sets rule out are dropped, none else;
 2. a DivideSkip search decides the pairs of one class together: the lists of its rare shingles are merged by a heap, those of
    its frequent ones are probed by binary search, and classes that reach the required overlap stay;
-3. links make components; the members of long lists that lie in different components are compared in the same way, and
-   their links are added. Pairs inside a component need no look: they cannot change it.
+3. the closest pair of each class is decided first, and links make components. Of the other pairs only those whose ends lie in
+   different components are decided next, and last those of the members of long lists that are still apart. Pairs inside a
+   component need no look: they cannot change it.
 """
 
 from __future__ import annotations
@@ -35,8 +36,8 @@ SHINGLE = 5
 NUM, DEN = 75, 100
 #: Lists of up to so many classes give all their pairs.
 SHORT_LIST = 32
-#: Bits of a class's parity sketch, as 64-bit words.
-SKETCH_WORDS = 16
+#: Smallest parity sketch, as 64-bit words; a class gets at least a bit per shingle.
+SKETCH_WORDS = 4
 #: Bytes of text for one shard of the inverted lists.
 SHARD_BYTES = 12 << 20
 
@@ -59,12 +60,33 @@ def class_of(tokens: np.ndarray) -> int:
     return name - (1 << 64) if name >> 63 else name
 
 
-def parity_sketch(tokens: np.ndarray, words: int = SKETCH_WORDS) -> np.ndarray:
-    """Parity of the number of shingles per bit: sketches of two sets differ in no more bits than the sets in shingles."""
+def parity_sketch(tokens: np.ndarray) -> np.ndarray:
+    """Parity of the number of shingles per bit: sketches of two sets differ in no more bits than the sets in shingles.
+
+    The number of bits is a power of two. Half of a sketch laid over its other half is the sketch of half as many bits, so sets
+    of different sizes can be compared.
+    """
+    words = max(SKETCH_WORDS, 1 << (-(-len(tokens) // 64) - 1).bit_length())
     bits = np.bincount((mix(tokens) % np.uint64(64 * words)).astype(np.int64), minlength=64 * words) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+def sketches_differ(sketch: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Bits in which each of the others differs, all laid over to the shortest length of the two."""
+    out = np.zeros(len(others), np.int64)
+    by_length: dict[int, list[int]] = {}
+    for i, other in enumerate(others):
+        by_length.setdefault(len(other), []).append(i)
+    for length, at in by_length.items():
+        mine, theirs = sketch, np.stack([others[i] for i in at])
+        while len(mine) > length:
+            mine = mine[:len(mine) // 2] ^ mine[len(mine) // 2:]
+        while theirs.shape[1] > len(mine):
+            theirs = theirs[:, :theirs.shape[1] // 2] ^ theirs[:, theirs.shape[1] // 2:]
+        out[at] = np.bitwise_count(theirs ^ mine).sum(axis=1)
+    return out
+
+
 def _sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[tuple[list, list[np.ndarray]]]:
     for batch in batches:
         ids, texts = batch.column(0).to_pylist(), as_bytes(batch.column(1))
@@ -113,11 +135,10 @@ def _add_counts(batches):
 
 def frequent_cells(counts: DataFrame, sketch_bits: int) -> np.ndarray:
     """One bit per cell of the occurrence sketch: frequent or not. Its size is fixed by ``sketch_bits``, whatever the input."""
-    # Each segment becomes its own few bytes before the driver sees it; 2 ** sketch_bits cells in all.
-    rows = counts.repartition(16, "cells").mapInArrow(_add_counts, "cells int, counts binary").collect()
+    # The driver takes the sums of one task at a time, 2 ** sketch_bits cells in all.
     cells = np.zeros(1 << sketch_bits, np.int64)
     step = min(_SEGMENT, len(cells))
-    for row in rows:
+    for row in counts.repartition(16, "cells").mapInArrow(_add_counts, "cells int, counts binary").toLocalIterator():
         cells[row["cells"] * step:(row["cells"] + 1) * step] = np.frombuffer(row["counts"], "<i8")
     return np.packbits(cells > 4 * cells.mean() + 64)
 
@@ -253,9 +274,9 @@ def _across(batches):
     """Pairs of members of one long list in different components that sizes, places and sketches leave open."""
     def work(rows):
         name, group, n, place = (np.array(c, np.int64) for c in zip(*((r[1], r[2], r[3], r[4]) for r in rows), strict=True))
-        sketch = np.array([r[5] for r in rows], np.int64)
         order = np.argsort(n, kind="stable")
-        name, group, n, place, sketch = name[order], group[order], n[order], place[order], sketch[order]
+        name, group, n, place = name[order], group[order], n[order], place[order]
+        sketch = [np.array(rows[i][5], np.int64) for i in order.tolist()]
         found = []
         last = np.searchsorted(n * NUM, n * DEN, side="right")  # partners of i are at most as large as this
         for i in range(len(name)):
@@ -263,7 +284,7 @@ def _across(batches):
             j = j[group[j] != group[i]]
             j = j[may_link(n[i], place[i], n[j], place[j])]
             if len(j):
-                differ = np.bitwise_count(sketch[j] ^ sketch[i]).sum(axis=1)
+                differ = sketches_differ(sketch[i], [sketch[x] for x in j.tolist()])
                 j = j[differ <= n[i] + n[j] - 2 * least_overlap(n[i], n[j])]
                 found.extend((min(int(name[i]), int(y)), max(int(name[i]), int(y))) for y in name[j])
         if found:
@@ -325,17 +346,15 @@ def divide_skip(query: np.ndarray, n_rare: int, others: list[np.ndarray], num: i
 
 
 def _sets_of(shingle: int, wanted):
-    """Rows (class, tokens) of the classes whose bit is set, once per block."""
+    """Rows (class, tokens) of the texts whose bit is set; one text stands for each class."""
     def run(batches):
         filled = wanted.value
-        for _, sets in _sets(batches, shingle):
-            names, blobs, seen = [], [], set()
-            for s in sets:
-                if len(s) and (name := class_of(s)) not in seen:
-                    seen.add(name)
-                    if bit_of(filled, name):
-                        names.append(name)
-                        blobs.append(s.tobytes())
+        for ids, sets in _sets(batches, shingle):
+            names, blobs = [], []
+            for doc_id, s in zip(ids, sets, strict=True):
+                if len(s) and bit_of(filled, (name := class_of(s)) ^ (doc_id or 0)):
+                    names.append(name)
+                    blobs.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(blobs, pa.binary())], names=["class", "tokens"])
     return run
 
@@ -378,12 +397,13 @@ class _Join:
         self.spark, self.shingle, self.short_list = docs.sparkSession, shingle, short_list
         self.rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
         size = self.rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        # About a cell per shingle (a shingle is some six bytes of text), within 1 MB to 16 MB of bits.
-        self.bits = sketch_bits or min(27, max(18, (size // 6).bit_length()))
+        # About a cell per shingle (a shingle is some six bytes of text), up to four million cells unless the caller wants more.
+        self.bits = sketch_bits or min(22, max(16, (size // 6).bit_length()))
         self.shards = max(8, size // SHARD_BYTES)
         described = stage(self.rows.mapInArrow(_describe(shingle, self.bits), _MEMBER_SQL), "join-members")
         self.members = described.where("cells is null").select("doc_id", "class", "n", "sketch")
-        self.classes = self.members.where("class is not null").groupBy("class").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("least_doc"))
+        self.classes = stage(self.members.where("class is not null").groupBy("class").agg(
+            F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("least_doc")), "join-classes")
         self.frequent = self.spark.sparkContext.broadcast(frequent_cells(described.where("cells is not null").select("cells", "counts"), self.bits))
 
     def candidates(self) -> DataFrame:
@@ -392,38 +412,59 @@ class _Join:
         return stage(by_shard.mapInArrow(_lists(self.short_list), "kind byte, list long, x long, y long, n int, place int"), "join-lists")
 
     def open_pairs(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose sketches leave room for the required overlap."""
+        """Pairs (x, y, differ) whose sketches leave room for the required overlap."""
         of = lambda side: self.classes.select(F.col("class").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}"))
         both = pairs.distinct().join(of("x"), "x").join(of("y"), "y")
-        differ = F.aggregate(F.zip_with("sketch_x", "sketch_y", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, v: s + v)
+        x, y = F.col("sketch_x"), F.col("sketch_y")
+
+        def over(longer, other):
+            # Sizes of a pair differ by a third at most, so one sketch has at most twice the bits of the other.
+            half = (F.size(longer) / 2).cast("int")
+            laid = F.zip_with(F.slice(longer, F.lit(1), half), F.slice(longer, half + 1, half), lambda a, b: a.bitwiseXOR(b))
+            return F.when(F.size(longer) > F.size(other), laid).otherwise(longer)
+
+        differ = F.aggregate(F.zip_with(over(x, y), over(y, x), lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, v: s + v)
         least = F.ceil(F.lit(NUM) * (F.col("n_x") + F.col("n_y")) / F.lit(NUM + DEN))
-        return both.where(differ <= F.col("n_x") + F.col("n_y") - 2 * least).select("x", "y")
+        return both.withColumn("differ", differ).where(F.col("differ") <= F.col("n_x") + F.col("n_y") - 2 * least).select("x", "y", "differ")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Linked pairs (a, b) among distinct pairs (x, y) of classes."""
-        # The bitmap thins the texts out; what it lets through too much meets no pair.
-        wanted = self.spark.sparkContext.broadcast(filled_bits(pairs.select("x").union(pairs.select("y"))))
+        ends = pairs.select(F.col("x").alias("class")).union(pairs.select("y")).distinct()
+        key = F.col("class").bitwiseXOR(F.coalesce("least_doc", F.lit(0).cast("long")))
+        # The bitmap thins the texts out; what it lets through too much meets no pair or brings a set twice.
+        wanted = self.spark.sparkContext.broadcast(filled_bits(ends.join(self.classes, "class").select(key.alias("key"))))
         found = self.rows.mapInArrow(_sets_of(self.shingle, wanted), "class long, tokens binary")
-        sets = stage(found.groupBy("class").agg(F.first("tokens").alias("tokens")), "join-sets")
-        asked = pairs.join(sets, pairs["y"] == sets["class"]).select("x", "y", "tokens")
-        own = sets.join(pairs.select("x").distinct(), sets["class"] == F.col("x"), "left_semi").select(F.col("class").alias("x"), F.lit(None).cast("long").alias("y"), "tokens")
-        by_query = own.union(asked).repartition("x").sortWithinPartitions("x", F.col("y").asc_nulls_first())
+        own = pairs.select(F.col("x").alias("class"), "x", F.lit(None).cast("long").alias("y")).distinct()
+        asked = own.union(pairs.select(F.col("y").alias("class"), "x", "y"))
+        by_query = found.join(asked, "class").select("x", "y", "tokens").repartition("x").sortWithinPartitions("x", F.col("y").asc_nulls_first())
         return stage(by_query.mapInArrow(_search(self.frequent, self.bits), "a long, b long"), "join-links")
 
 
+def _closest(pairs: DataFrame) -> DataFrame:
+    """Of each class the pair with the least difference."""
+    both = pairs.select(F.col("x").alias("node"), F.struct("differ", F.col("y").alias("other")).alias("to")).union(
+        pairs.select("y", F.struct("differ", F.col("x").alias("other"))))
+    best = both.groupBy("node").agg(F.min("to").alias("to")).select("node", "to.other")
+    return best.select(F.least("node", "other").alias("x"), F.greatest("node", "other").alias("y")).distinct()
+
+
 def _groups(join: _Join) -> DataFrame:
     """class, group and component_id of every class."""
     lists = join.candidates()
-    first = join.links(stage(join.open_pairs(lists.where("kind = 0").select("x", "y")), "join-pairs"))
-    grouped = stage(components(first), "join-components")
+    pairs = stage(join.open_pairs(lists.where("kind = 0").select("x", "y")), "join-pairs")
+    closest = stage(_closest(pairs), "join-closest")
+    grouped = stage(components(join.links(closest)), "join-components")
+    of = lambda side: grouped.select(F.col("node").alias(side), F.col("component").alias(f"group_{side}"))
+    apart = F.coalesce("group_x", "x") != F.coalesce("group_y", "y")
+    rest = pairs.join(of("x"), "x", "left").join(of("y"), "y", "left").where(apart).select("x", "y").join(closest, ["x", "y"], "left_anti")
     long_lists = (lists.where("kind = 1").join(grouped, F.col("x") == F.col("node"), "left")
                   .select("list", "x", F.coalesce("component", "x").alias("group"), "n", "place"))
     mixed = long_lists.groupBy("list").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low != high").select("list")
     sketches = join.classes.select(F.col("class").alias("x"), "sketch")
     members = long_lists.join(mixed, "list", "left_semi").join(sketches, "x").select("list", "x", "group", "n", "place", "sketch")
-    across = stage(members.repartition("list").sortWithinPartitions("list").mapInArrow(_across, "x long, y long").distinct(), "join-across")
-    if not across.isEmpty():
-        grouped = stage(components(grouped.toDF("a", "b").union(join.links(across))), "join-components")
+    across = members.repartition("list").sortWithinPartitions("list").mapInArrow(_across, "x long, y long")
+    second = join.links(stage(rest.union(across).distinct(), "join-across"))
+    grouped = stage(components(grouped.toDF("a", "b").union(second)), "join-components")
     named = (join.classes.join(grouped, F.col("class") == F.col("node"), "left")
              .select("class", "least_doc", F.coalesce("component", "class").alias("group")))
     least = named.groupBy("group").agg(F.min("least_doc").alias("component_id"))

@@ -18,7 +18,7 @@ def test_query(spark, key):
     assert rows
     if key in entry.oracle_sql():
         con = duckdb.connect()
-        for name in ("documents", "pages"):
+        for name in ("documents", "pages", "benchmark"):
             con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{FOLDER}/{name}.parquet'")
         result = con.execute(entry.oracle_sql()[key])
         names = [d[0] for d in result.description]

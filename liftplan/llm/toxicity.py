@@ -43,7 +43,8 @@ DENIAL = frozenset("not never no don't doesn't isn't wasn't".split())
 ADDRESS = frozenset("you your you're u are".split())
 _QUOTES = re.compile("[\"“”«»„]")
 _EDGE = " \t\n\r\x0b\x0c.,;:!?\"'“”„«»()[]{}<>*_~`-—–…"
-WORD_CACHE = 400_000
+#: Words that a process remembers.
+WORD_CACHE = 1_000_000
 
 
 class Trie:
@@ -70,32 +71,44 @@ class Matcher:
             self.root.add(t, False)
         for s in stems:
             self.root.add(s, True)
-        # One edit leaves the first or the second half of a term whole: words without such a half need no search.
-        self.heads: dict[int, set[str]] = {}
-        self.tails: dict[int, set[str]] = {}
+        # One edit leaves the first half of a term whole at the word's beginning or the second half at its end; under a
+        # stem the second half may be followed by more and be moved by one place. Other words need no search.
+        halves: dict[tuple[str, int], set[str]] = {}
         for text in {*terms, *stems}:
             h = len(text) // 2
-            self.heads.setdefault(h, set()).add(text[:h])
-            self.tails.setdefault((h, len(text) - h), set()).add(text[h:])
-        self.seen: dict[str, tuple[int, int]] = {}
+            halves.setdefault(("head", h), set()).add(text[:h])
+        for text in terms:
+            halves.setdefault(("end", len(text) - len(text) // 2), set()).add(text[len(text) // 2:])
+        for text in stems:
+            for at in range(max(0, len(text) // 2 - 1), len(text) // 2 + 2):
+                halves.setdefault((at, len(text) - len(text) // 2), set()).add(text[len(text) // 2:])
+        self.slices = [(slice(0, n) if at == "head" else slice(-n, None) if at == "end" else slice(at, at + n), frozenset(s)) for (at, n), s in halves.items()]
+        self.clean: set[str] = set()
+        self.hits: dict[str, tuple[int, int]] = {}
+
+    def look(self, words: list[str]) -> bool:
+        """Whether any of the words, as they stand in a text, is a hit; all of them that are get into ``hits``."""
+        if len(self.hits) > WORD_CACHE:
+            self.hits = {}
+        fresh = set(words)
+        fresh -= self.clean
+        for w in fresh:
+            if w not in self.hits:
+                got = self.match(w.strip(_EDGE).lower())
+                if got[0]:
+                    self.hits[w] = got
+                elif len(self.clean) < WORD_CACHE:
+                    self.clean.add(w)
+        return not self.hits.keys().isdisjoint(words)
 
     def match(self, word: str) -> tuple[int, int]:
         """(kind, edits) of the best match: kind 1 term, 2 stem, 0 none."""
-        got = self.seen.get(word)
-        if got is None:
-            if len(self.seen) > WORD_CACHE:
-                self.seen = {}
-            got = self.seen[word] = self._search(word)
-        return got
-
-    def _near(self, word: str) -> bool:
-        if any(word[:h] in s for h, s in self.heads.items()):
-            return True
-        return any(word[h + d:h + d + n] in s for (h, n), s in self.tails.items() for d in (-1, 0, 1) if h + d >= 0)
+        for part, known in self.slices:
+            if word[part] in known:
+                return self._search(word)
+        return 0, 0
 
     def _search(self, word: str) -> tuple[int, int]:
-        if not self._near(word):
-            return 0, 0
         most = 1 if len(word) >= self.fuzzy_length else 0
         best = (0, most + 1)
         stack = [(self.root, tuple(range(len(word) + 1)))]
@@ -116,9 +129,9 @@ class Matcher:
         return best if best[0] else (0, 0)
 
 
-def words_of(text: str) -> list[tuple[str, str]]:
-    """(word as it stands, word lower-cased and without marks at its ends)."""
-    return [(w, w.strip(_EDGE).lower()) for w in text.split()]
+def words_of(text: str) -> set[str]:
+    """Different words, lower-cased and without marks at their ends."""
+    return {w.strip(_EDGE).lower() for w in set(text.split())} - {""}
 
 
 N_FEATURES = 7
@@ -129,18 +142,9 @@ def features(text: str, matcher: Matcher) -> np.ndarray:
     words = text.split()
     out = np.zeros(N_FEATURES)
     out[6] = math.log1p(len(words)) / 10
-    match, hits = matcher.match, []
-    seen = matcher.seen
-    for i, w in enumerate(words):
-        key = seen.get(w)
-        if key is None:
-            key = match(w.strip(_EDGE).lower())
-            if len(seen) < WORD_CACHE:
-                seen[w] = key
-        if key[0]:
-            hits.append((i, key))
-    if not hits:
+    if not matcher.look(words):
         return out
+    hits = [(i, matcher.hits[w]) for i, w in enumerate(words) if w in matcher.hits]
     quotes = np.cumsum([len(_QUOTES.findall(w)) for w in words])
     for i, (kind, edits) in hits:
         out[2 if edits else kind - 1] += 1
@@ -242,9 +246,9 @@ def _terms():
         toxic, other = Counter(), Counter()
         for batch in batches:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = {w for _, w in words_of(text or "") if w}
+                words = words_of(text or "")
                 # No word has a full stop in front, so it marks stems.
-                own = words | {"." + w[:n] for w in words for n in STEM_LENGTHS if len(w) >= n}
+                own = words.union(*({"." + w[:n] for w in words if len(w) >= n} for n in STEM_LENGTHS))
                 (toxic if label else other).update(own)
             if len(toxic) + len(other) > 500_000:
                 yield made(toxic, other)

@@ -457,14 +457,16 @@ def _groups(join: _Join) -> DataFrame:
     of = lambda side: grouped.select(F.col("node").alias(side), F.col("component").alias(f"group_{side}"))
     apart = F.coalesce("group_x", "x") != F.coalesce("group_y", "y")
     rest = pairs.join(of("x"), "x", "left").join(of("y"), "y", "left").where(apart).select("x", "y").join(closest, ["x", "y"], "left_anti")
+    second = join.links(stage(rest, "join-rest"))
+    grouped = stage(components(grouped.toDF("a", "b").union(second)), "join-components")
     long_lists = (lists.where("kind = 1").join(grouped, F.col("x") == F.col("node"), "left")
                   .select("list", "x", F.coalesce("component", "x").alias("group"), "n", "place"))
     mixed = long_lists.groupBy("list").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low != high").select("list")
     sketches = join.classes.select(F.col("class").alias("x"), "sketch")
     members = long_lists.join(mixed, "list", "left_semi").join(sketches, "x").select("list", "x", "group", "n", "place", "sketch")
     across = members.repartition("list").sortWithinPartitions("list").mapInArrow(_across, "x long, y long")
-    second = join.links(stage(rest.union(across).distinct(), "join-across"))
-    grouped = stage(components(grouped.toDF("a", "b").union(second)), "join-components")
+    third = join.links(stage(across.distinct(), "join-across"))
+    grouped = stage(components(grouped.toDF("a", "b").union(third)), "join-components")
     named = (join.classes.join(grouped, F.col("class") == F.col("node"), "left")
              .select("class", "least_doc", F.coalesce("component", "class").alias("group")))
     least = named.groupBy("group").agg(F.min("least_doc").alias("component_id"))

@@ -56,16 +56,20 @@ class PieceEncoder:
     The vocabulary's pre-tokeniser ends a token in front of a single blank between two characters that are no white space, on
     both sides of such a line feed, and between an ASCII letter and a full stop or comma. A text is cut there, each piece
     is encoded alone, and what it gives is kept until ``cache_bytes`` are full. White space of any other kind stays inside a piece.
+    With ``special_as_text`` the vocabulary's special tokens are spelled out like any other text; without it they keep their own ids, as
+    the tokenizer does when it is loaded, and a text that holds one is encoded whole.
     """
 
-    def __init__(self, tokenizer_path: str, cache_bytes: int = PIECE_CACHE):
+    def __init__(self, tokenizer_path: str, cache_bytes: int = PIECE_CACHE, special_as_text: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.cache_bytes = Tokenizer.from_file(tokenizer_path), cache_bytes
         vocabulary = self.tokenizer.get_vocab()
         if max(vocabulary.values()) >= 1 << 16:
             raise ValueError("the encoder keeps ids in 16 bits")
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        #: Texts that hold one of these are not cut.
+        self.added = [] if special_as_text else [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         #: Bytes that each id stands for: a byte-level vocabulary writes a byte as one character.
         self.id_bytes = np.zeros(1 << 16, np.int64)
         for token, number in vocabulary.items():
@@ -134,6 +138,15 @@ class PieceEncoder:
         return {piece: ids(ps[0]) if len(ps) == 1 else b"".join(map(ids, ps)) for piece, ps in pieces.items()}
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of each text."""
+        uncut = [i for i, t in enumerate(texts) if any(a in t for a in self.added)]
+        if not uncut:
+            return self._encode_cut(texts)
+        whole = dict(zip(uncut, self._each([texts[i] for i in uncut]), strict=True))
+        cut = iter(self._encode_cut([t for i, t in enumerate(texts) if i not in whole]))
+        return [np.frombuffer(whole[i], "<u2").astype(np.uint32) if i in whole else next(cut) for i in range(len(texts))]
+
+    def _encode_cut(self, texts: list[bytes]) -> list[np.ndarray]:
         split, missing, whole_pieces = [], set(), set()
         known = self.after_blank.get
         for text in texts:
@@ -216,7 +229,7 @@ def _encoder(path: str) -> PieceEncoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
     kept = sys.modules.setdefault("_liftplan_token_pieces", types.ModuleType("_liftplan_token_pieces")).__dict__
     if path not in kept:
-        kept[path] = PieceEncoder(path)
+        kept[path] = PieceEncoder(path, special_as_text=False)
     return kept[path]
 
 
@@ -255,7 +268,7 @@ def _write(tokenizer_path: str, end_id: int, block: int, chunk_ids: int):
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
                  block: int = BLOCK_IDS, chunk_ids: int = CHUNK_IDS) -> None:
-    """Encode whole texts and write them to ``path`` in ascending id order, ``end_id`` after each.
+    """Encode whole texts as the tokenizer does when it is loaded, and write them to ``path`` in ascending id order, ``end_id`` after each.
 
     Null text counts as empty (its document is the end id alone); null ids come first; rows with equal ids stand side by
     side, ordered by text. An empty table gives a file without chunks. Other columns are not read.

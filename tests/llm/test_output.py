@@ -61,6 +61,23 @@ def test_token_file(spark, tokenizer):
     assert digests == {(g[0], zlib.crc32(np.array(g[3], "<u4").tobytes())) for g in got}
 
 
+def test_special_tokens_keep_their_ids(spark):
+    loaded = Tokenizer.from_file(VOCABULARY)
+    end = "<|endoftext|>"
+    cases = ["one two<|endoftext|> three", end, f"{end}{end}", f" {end} ", f"a. {end}\nb{end}.", f"a\n{end}\n\nb", f"{end}, é  {end}.", "<|endoftext", "a <|endoftext|x|>", "<| endoftext|>"]
+    parts = ["a", "Word", " ", "  ", "\n", ".", ",", "'s", "é", "日本", "\t", end, "<|", "|>"]
+    rng = np.random.Generator(np.random.PCG64(8))
+    cases += ["".join(parts[i] for i in rng.integers(0, len(parts), 20)) for _ in range(800)]
+    expected = [e.ids for e in loaded.encode_batch(cases, add_special_tokens=False)]
+    assert expected[0] == [505, 734, 50256, 1115]
+    for cache in (0, 1 << 20):
+        got = token_file.PieceEncoder(VOCABULARY, cache, special_as_text=False).encode([c.encode() for c in cases])
+        assert [g.tolist() for g in got] == expected
+    path = scratch_path(spark, "test-tokens")
+    token_file.write_tokens(documents(spark, [(i, c, "en", "a", 0) for i, c in enumerate(cases)]), path, VOCABULARY, end_id=2)
+    assert {r["doc_id"]: list(r["ids"]) for r in token_file.read_tokens(spark, path).collect()} == {i: [*e, 2] for i, e in enumerate(expected)}
+
+
 def test_token_file_of_no_documents(spark):
     path = scratch_path(spark, "test-tokens")
     token_file.write_tokens(documents(spark, []), path, VOCABULARY, end_id=2)

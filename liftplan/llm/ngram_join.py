@@ -12,6 +12,10 @@ of its first n - T + 1; only these go into inverted lists, dealt over shards by
 3. the closest pair of each class is decided first, and links make components. Of the other pairs only those whose ends lie in
    different components are decided next, and last those of the members of long lists that are still apart. Pairs inside a
    component need no look: they cannot change it.
+
+``ngram_links`` and ``link_counts`` decide the pairs inside components too and lose no link.
+
+Long lists are cut into blocks of members of one size class, and pairs of blocks are what tasks are dealt.
 """
 
 from __future__ import annotations
@@ -36,6 +40,10 @@ SHINGLE = 5
 NUM, DEN = 75, 100
 #: Lists of up to so many classes give all their pairs.
 SHORT_LIST = 32
+#: Members of a long list that meet those of another block in one piece of work.
+BLOCK = 256
+#: Earlier long lists that a member brings along, so that a pair is given by few of the lists that both are in.
+EARLIER = 16
 #: Smallest parity sketch, as 64-bit words; a class gets at least a bit per shingle.
 SKETCH_WORDS = 4
 #: Bytes of text for one shard of the inverted lists.
@@ -52,6 +60,21 @@ def prefix_length(n: int, num: int = NUM, den: int = DEN) -> int:
     return n - (-(-num * n // den)) + 1
 
 
+def _size_bounds() -> np.ndarray:
+    out = [1]
+    while out[-1] < 1 << 31:
+        out.append(out[-1] * DEN // NUM + 1)
+    return np.array(out, np.int64)
+
+
+_SIZES = _size_bounds()
+
+
+def size_class(n: np.ndarray) -> np.ndarray:
+    """Class of a set's size: linked sets are in the same class or in neighbouring ones."""
+    return np.searchsorted(_SIZES, n, side="right") - 1
+
+
 def class_of(tokens: np.ndarray) -> int:
     """64-bit name of a set of shingles."""
     if not len(tokens):
@@ -205,15 +228,22 @@ def may_link(n_a, place_a, n_b, place_b, num: int = NUM, den: int = DEN):
     return (den * small >= num * large) & (rest >= least_overlap(n_a, n_b, num, den))
 
 
-def _lists(short_list: int):
-    """Of the shards' postings: rows (kind 0) of pairs, and rows (kind 1) of members of long lists."""
-    schema = pa.schema([("kind", pa.int8()), ("list", pa.int64()), ("x", pa.int64()), ("y", pa.int64()), ("n", pa.int32()), ("place", pa.int32())])
+_LISTS_SQL = "kind byte, list long, x long, y long, n int, place int, size int, block int, own int, below int, above int"
+
+
+def _lists(short_list: int, block: int = BLOCK):
+    """Of the shards' postings: rows (kind 0) of pairs, and rows (kind 1) of members of long lists.
+
+    A member has its size class and block, and how many blocks its own size class and those below and above it have in the list.
+    """
+    more = ["n", "place", "size", "block", "own", "below", "above"]
+    schema = pa.schema([("kind", pa.int8()), ("list", pa.int64()), ("x", pa.int64()), ("y", pa.int64()), *((c, pa.int32()) for c in more)])
 
     def work(shard: int, blobs: list[bytes]):
         press = zstandard.ZstdDecompressor()
         token, name, place, n = (np.concatenate(c) for c in zip(*(_unpack(b, press) for b in blobs), strict=True))
         # Lists by shingle; inside a list by size class and then a fixed random order of classes, each class once.
-        size = np.floor(np.log(n) / np.log(DEN / NUM)).astype(np.int64)
+        size = size_class(n)
         order = np.lexsort((place, name, mix(name.view(np.uint64)), size, token))
         token, name, place, n, size = token[order], name[order], place[order], n[order], size[order]
         fresh = np.r_[True, (token[1:] != token[:-1]) | (name[1:] != name[:-1])]
@@ -240,7 +270,8 @@ def _lists(short_list: int):
         # In a long list each member meets the first one of its size class, and that one the first of the class before. The
         # order is the same in all lists, so many lists of one group of copies give the same few pairs.
         heads = np.flatnonzero(new_list | np.r_[True, size[1:] != size[:-1]])
-        head = np.repeat(heads, np.diff(np.r_[heads, len(token)]))
+        run_length = np.diff(np.r_[heads, len(token)])
+        head = np.repeat(heads, run_length)
         i = here[~short & (here > head)]
         pair(head[i], i)
         i = heads[~short[heads] & ~new_list[heads]]
@@ -250,11 +281,17 @@ def _lists(short_list: int):
             both = both[:, both[0] != both[1]]
             k = both.shape[1]
             if k:
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(k, np.int8)), pa.nulls(k, pa.int64()), pa.array(both[0]), pa.array(both[1]), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int32())], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(k, np.int8)), pa.nulls(k, pa.int64()), pa.array(both[0]), pa.array(both[1]), *(pa.nulls(k, pa.int32()) for _ in more)], schema=schema)
         i = here[~short]
         if len(i):
             number = (np.int64(shard) << 32) | token[i].astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(i), np.int8)), pa.array(number), pa.array(name[i]), pa.nulls(len(i), pa.int64()), pa.array(n[i].astype(np.int32)), pa.array(place[i].astype(np.int32))], schema=schema)
+            blocks = -(-run_length // block)
+            next_to = (token[heads[1:]] == token[heads[:-1]]) & (size[heads[1:]] == size[heads[:-1]] + 1)
+            below, above = np.zeros_like(blocks), np.zeros_like(blocks)
+            below[1:][next_to], above[:-1][next_to] = blocks[:-1][next_to], blocks[1:][next_to]
+            own, below, above = (np.repeat(c, run_length)[i] for c in (blocks, below, above))
+            columns = [n[i], place[i], size[i], (i - head[i]) // block, own, below, above]
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(i), np.int8)), pa.array(number), pa.array(name[i]), pa.nulls(len(i), pa.int64()), *(pa.array(c.astype(np.int32)) for c in columns)], schema=schema)
 
     def run(batches):
         current, held = None, []
@@ -270,6 +307,70 @@ def _lists(short_list: int):
     return run
 
 
+_MEET = ["list", "low", "a", "step", "b"]
+
+
+def block_pairs(members: DataFrame) -> DataFrame:
+    """Members of long lists, once for each pair of blocks that they are in (``_MEET``), with their side of it.
+
+    Blocks of one size class meet each other and themselves, and those of the class above. Two members of a list whose sizes
+    may link meet in one pair of blocks.
+    """
+    def each(count: str, low, a, step, b, side):
+        at = lambda k: F.struct(low(k).alias("low"), a(k).alias("a"), F.lit(step).alias("step"), b(k).alias("b"), side(k).alias("side"))
+        return F.transform(F.when(F.col(count) > 0, F.sequence(F.lit(0), F.col(count) - 1)).otherwise(F.array().cast("array<int>")), at)
+
+    size, block = F.col("size"), F.col("block")
+    same = each("own", lambda k: size, lambda k: F.least(block, k), 0, lambda k: F.greatest(block, k), lambda k: (block > k).cast("int"))
+    up = each("above", lambda k: size, lambda k: block, 1, lambda k: k, lambda k: F.lit(0))
+    down = each("below", lambda k: size - 1, lambda k: k, 1, lambda k: block, lambda k: F.lit(1))
+    rest = [c for c in members.columns if c not in ("list", "size", "block", "own", "below", "above")]
+    return members.select("list", F.explode(F.concat(same, up, down)).alias("at"), *rest).select("list", "at.*", *rest)
+
+
+def _meet(inside: bool):
+    """Pairs of members of two blocks (or of one) in the same component or in different ones that sizes, places and sketches leave open.
+
+    A pair that an earlier list of both also has is left to that list.
+    """
+    def work(key, rows):
+        side, name, group, n, place = (np.array(c, np.int64) for c in zip(*(r[:5] for r in rows), strict=True))
+        sketch, earlier = [np.array(r[5], np.int64) for r in rows], [set(r[6]) for r in rows]
+        alone = key[3] == 0 and key[2] == key[4]
+        second = np.flatnonzero(side == 1)
+        found = []
+        for i in np.flatnonzero(side == 0).tolist():
+            j = np.arange(i + 1, len(rows)) if alone else second
+            j = j[(group[j] == group[i]) == inside]
+            j = j[may_link(n[i], place[i], n[j], place[j])]
+            if len(j):
+                differ = sketches_differ(sketch[i], [sketch[x] for x in j.tolist()])
+                j = j[differ <= n[i] + n[j] - 2 * least_overlap(n[i], n[j])]
+                found.extend((min(a, b), max(a, b)) for a in [int(name[i])] for x, b in zip(j.tolist(), name[j].tolist(), strict=True) if earlier[i].isdisjoint(earlier[x]))
+        if found:
+            x, y = zip(*found, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["x", "y"])
+
+    def run(batches):
+        current, held = None, []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[:5] != current and held:
+                    yield from work(current, held)
+                    held = []
+                current = row[:5]
+                held.append(row[5:])
+        if held:
+            yield from work(current, held)
+    return run
+
+
+def met_pairs(members: DataFrame, inside: bool) -> DataFrame:
+    """Pairs (x, y) of members of long lists in the same component (``inside``) or in different ones that may link."""
+    dealt = block_pairs(members).select(*_MEET, "side", "x", "group", "n", "place", "sketch", "earlier")
+    return dealt.repartition(*_MEET).sortWithinPartitions(*_MEET).mapInArrow(_meet(inside), "x long, y long").distinct()
+
+
 def _across(batches):
     """Pairs of members of one long list in different components that sizes, places and sketches leave open."""
     def work(rows):
@@ -390,11 +491,42 @@ def _search(frequent, sketch_bits: int):
     return run
 
 
+_PAIR_KEY = ["group", "at_x", "at_y"]
+
+
+def _decide(frequent, sketch_bits: int):
+    """Links (a, b) of rows (group, at_x, at_y, x, y, tokens) sorted by these: sets (y null) before the pairs of their key."""
+    def run(batches):
+        cells, shift = frequent.value, np.uint64(64 - sketch_bits)
+        key, sets, x, ys = None, {}, None, []
+
+        def answer():
+            query, n_rare = _ordered(sets[x], cells, shift)
+            hits = divide_skip(query, n_rare, [sets[y] for y in ys])
+            return pa.RecordBatch.from_arrays([pa.array([x] * len(hits), pa.int64()), pa.array([ys[i] for i in hits], pa.int64())], names=["a", "b"])
+
+        for batch in batches:
+            for *here, name, y, tokens in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if ys and (here != key or name != x or len(ys) == 256):
+                    yield answer()
+                    ys = []
+                if here != key:
+                    key, sets = here, {}
+                if y is None:
+                    sets[name] = np.frombuffer(tokens, np.uint64)
+                else:
+                    x = name
+                    ys.append(y)
+        if ys:
+            yield answer()
+    return run
+
+
 class _Join:
     """What the steps of one join share."""
 
-    def __init__(self, docs: DataFrame, id_col: str, text_col: str, shingle: int, sketch_bits: int | None, short_list: int):
-        self.spark, self.shingle, self.short_list = docs.sparkSession, shingle, short_list
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str, shingle: int, sketch_bits: int | None, short_list: int, block: int = BLOCK):
+        self.spark, self.shingle, self.short_list, self.block = docs.sparkSession, shingle, short_list, block
         self.rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
         size = self.rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         # About a cell per shingle (a shingle is some six bytes of text), up to four million cells unless the caller wants more.
@@ -403,13 +535,15 @@ class _Join:
         described = stage(self.rows.mapInArrow(_describe(shingle, self.bits), _MEMBER_SQL), "join-members")
         self.members = described.where("cells is null").select("doc_id", "class", "n", "sketch")
         self.classes = stage(self.members.where("class is not null").groupBy("class").agg(
-            F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("least_doc")), "join-classes")
+            F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("least_doc"), F.count("*").alias("copies")), "join-classes")
         self.frequent = self.spark.sparkContext.broadcast(frequent_cells(described.where("cells is not null").select("cells", "counts"), self.bits))
 
-    def candidates(self) -> DataFrame:
+    def candidates(self) -> tuple[DataFrame, DataFrame]:
+        """Pairs (x, y, differ) that short lists and the first members of size classes give, and the members of long lists."""
         posted = self.rows.select("doc_id", "text").mapInArrow(_post(self.shingle, self.frequent, self.bits, self.shards), "shard int, blob binary")
         by_shard = posted.repartition("shard").sortWithinPartitions("shard")
-        return stage(by_shard.mapInArrow(_lists(self.short_list), "kind byte, list long, x long, y long, n int, place int"), "join-lists")
+        lists = stage(by_shard.mapInArrow(_lists(self.short_list, self.block), _LISTS_SQL), "join-lists")
+        return stage(self.open_pairs(lists.where("kind = 0").select("x", "y")), "join-pairs"), lists.where("kind = 1").drop("kind", "y")
 
     def open_pairs(self, pairs: DataFrame) -> DataFrame:
         """Pairs (x, y, differ) whose sketches leave room for the required overlap."""
@@ -427,18 +561,38 @@ class _Join:
         least = F.ceil(F.lit(NUM) * (F.col("n_x") + F.col("n_y")) / F.lit(NUM + DEN))
         return both.withColumn("differ", differ).where(F.col("differ") <= F.col("n_x") + F.col("n_y") - 2 * least).select("x", "y", "differ")
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """Linked pairs (a, b) among distinct pairs (x, y) of classes."""
+    def sets(self, pairs: DataFrame) -> DataFrame:
+        """Rows (class, tokens) of the ends of pairs (x, y)."""
         ends = pairs.select(F.col("x").alias("class")).union(pairs.select("y")).distinct()
         key = F.col("class").bitwiseXOR(F.coalesce("least_doc", F.lit(0).cast("long")))
         # The bitmap thins the texts out; what it lets through too much meets no pair or brings a set twice.
         wanted = self.spark.sparkContext.broadcast(filled_bits(ends.join(self.classes, "class").select(key.alias("key"))))
-        found = self.rows.mapInArrow(_sets_of(self.shingle, wanted), "class long, tokens binary")
+        return self.rows.mapInArrow(_sets_of(self.shingle, wanted), "class long, tokens binary")
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """Linked pairs (a, b) among distinct pairs (x, y) of classes."""
+        found = self.sets(pairs)
         own = pairs.select(F.col("x").alias("class"), "x", F.lit(None).cast("long").alias("y")).distinct()
         asked = own.union(pairs.select(F.col("y").alias("class"), "x", "y"))
         by_query = found.join(asked, "class").select("x", "y", "tokens").repartition("x").sortWithinPartitions("x", F.col("y").asc_nulls_first())
         return stage(by_query.mapInArrow(_search(self.frequent, self.bits), "a long, b long"), "join-links")
 
+    def links_inside(self, pairs: DataFrame, named: DataFrame) -> DataFrame:
+        """Linked pairs (a, b) among distinct pairs (x, y) of classes of one component, by pairs of blocks of the component.
+
+        A set goes to each pair of blocks once, not to each pair of classes.
+        """
+        blocks = named.groupBy("group").agg(F.count("*").alias("many")).where("many > 1").select("group", F.ceil(F.col("many") / self.block).alias("blocks"))
+        placed = named.join(blocks, "group").select("class", "group", F.pmod(F.xxhash64("class"), F.col("blocks")).alias("at"))
+        x = placed.select(F.col("class").alias("x"), "group", F.col("at").alias("at_x"))
+        y = placed.select(F.col("class").alias("y"), F.col("group").alias("group_y"), F.col("at").alias("at_y"))
+        keyed = stage(pairs.join(x, "x").join(y, "y").where(F.col("group") == F.col("group_y")).select(*_PAIR_KEY, "x", "y"), "join-inside")
+        asked = keyed.select(*_PAIR_KEY, F.col("x").alias("class")).union(keyed.select(*_PAIR_KEY, "y")).distinct()
+        brought = asked.join(self.sets(keyed.select("x", "y")), "class").select(*_PAIR_KEY, F.col("class").alias("x"), F.lit(None).cast("long").alias("y"), "tokens")
+        both = brought.union(keyed.select(*_PAIR_KEY, "x", "y", F.lit(None).cast("binary")))
+        by_key = both.repartition(*_PAIR_KEY).sortWithinPartitions(*_PAIR_KEY, F.col("y").isNotNull(), "x", "y")
+        return stage(by_key.mapInArrow(_decide(self.frequent, self.bits), "a long, b long"), "join-links")
+
 
 def _closest(pairs: DataFrame) -> DataFrame:
     """Of each class the pair with the least difference."""
@@ -448,10 +602,8 @@ def _closest(pairs: DataFrame) -> DataFrame:
     return best.select(F.least("node", "other").alias("x"), F.greatest("node", "other").alias("y")).distinct()
 
 
-def _groups(join: _Join) -> DataFrame:
+def _groups(join: _Join, pairs: DataFrame, members: DataFrame) -> DataFrame:
     """class, group and component_id of every class."""
-    lists = join.candidates()
-    pairs = stage(join.open_pairs(lists.where("kind = 0").select("x", "y")), "join-pairs")
     closest = stage(_closest(pairs), "join-closest")
     grouped = stage(components(join.links(closest)), "join-components")
     of = lambda side: grouped.select(F.col("node").alias(side), F.col("component").alias(f"group_{side}"))
@@ -459,7 +611,7 @@ def _groups(join: _Join) -> DataFrame:
     rest = pairs.join(of("x"), "x", "left").join(of("y"), "y", "left").where(apart).select("x", "y").join(closest, ["x", "y"], "left_anti")
     second = join.links(stage(rest, "join-rest"))
     grouped = stage(components(grouped.toDF("a", "b").union(second)), "join-components")
-    long_lists = (lists.where("kind = 1").join(grouped, F.col("x") == F.col("node"), "left")
+    long_lists = (members.join(grouped, F.col("x") == F.col("node"), "left")
                   .select("list", "x", F.coalesce("component", "x").alias("group"), "n", "place"))
     mixed = long_lists.groupBy("list").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low != high").select("list")
     sketches = join.classes.select(F.col("class").alias("x"), "sketch")
@@ -482,11 +634,45 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     component's name unless it has no other. Repeated rows are linked to each other. An empty table gives an empty result; other columns are not read.
     """
     join = _Join(docs, id_col, text_col, shingle, sketch_bits, short_list)
-    return (join.members.join(_groups(join), "class", "left")
+    return (join.members.join(_groups(join, *join.candidates()), "class", "left")
             .select("doc_id", F.col("n").cast("long").alias("n_shingles"),
                     F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "class", "group"))
 
 
+def _links(join: _Join) -> DataFrame:
+    """All linked pairs (a, b) of different classes, a < b."""
+    pairs, members = join.candidates()
+    named = stage(_groups(join, pairs, members).select("class", "group"), "join-groups")
+    before = Window.partitionBy("x").orderBy("place", "list").rowsBetween(-EARLIER, -1)
+    brought = members.withColumn("earlier", F.collect_list("list").over(before))
+    groups = named.join(join.classes.select("class", "sketch"), "class").select(F.col("class").alias("x"), "group", "sketch")
+    inside = met_pairs(brought.join(groups, "x"), inside=True)
+    return join.links_inside(pairs.select("x", "y").union(inside).distinct(), named)
+
+
+def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, sketch_bits: int | None = None,
+                short_list: int = SHORT_LIST, block: int = BLOCK) -> DataFrame:
+    """One row per pair of classes that link: their classes ``a`` and ``b`` (a < b), and ``doc_a`` and ``doc_b``, the smallest id of each.
+
+    Every link between different shingle sets is a row, also inside a component; a class's rows link to each other and are no rows here. A class all
+    of whose ids are null has a null id. Null and empty texts link to nothing.
+    """
+    join = _Join(docs, id_col, text_col, shingle, sketch_bits, short_list, block)
+    of = lambda side: join.classes.select(F.col("class").alias(side), F.col("least_doc").alias(f"doc_{side}"))
+    return _links(join).join(of("a"), "a").join(of("b"), "b").select("a", "b", "doc_a", "doc_b")
+
+
+def link_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, sketch_bits: int | None = None,
+                short_list: int = SHORT_LIST, block: int = BLOCK) -> DataFrame:
+    """One row per class: class, doc_id (its smallest), copies (its rows), and n_links, the other rows that a row of it links to, its own copies included."""
+    join = _Join(docs, id_col, text_col, shingle, sketch_bits, short_list, block)
+    found = _links(join)
+    ends = found.union(found.select("b", "a")).toDF("class", "other").join(join.classes.select(F.col("class").alias("other"), F.col("copies").alias("there")), "other")
+    others = ends.groupBy("class").agg(F.sum("there").alias("there"))
+    return join.classes.join(others, "class", "left").select(
+        "class", F.col("least_doc").alias("doc_id"), "copies", (F.col("copies") - 1 + F.coalesce("there", F.lit(0))).alias("n_links"))
+
+
 def class_column(text: Column, shingle: int = SHINGLE) -> Column:
     """Class of a text's shingle set; null for a text without words."""
     @pandas_udf("long")
@@ -503,7 +689,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
 
     Rows without words all stay. Where several rows have that id, the one with the smallest class and text hash stays.
     """
-    groups = _groups(_Join(docs, id_col, text_col, shingle, None, SHORT_LIST)).select(
+    join = _Join(docs, id_col, text_col, shingle, None, SHORT_LIST)
+    groups = _groups(join, *join.candidates()).select(
         F.col("class").alias("__class"), F.col("group").alias("__group"), F.col("component_id").alias("__least"))
     named = docs.withColumn("__class", class_column(F.col(f"`{text_col}`"), shingle)).join(groups, "__class", "left")
     # Nearly always a single row of each group passes the test, so a group of any size is one row when rows meet.

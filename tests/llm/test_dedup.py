@@ -67,6 +67,28 @@ def test_jaccard_components(spark, options):
     assert ngram_join.ngram_jaccard(documents(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("options", [{}, {"short_list": 2, "sketch_bits": 6, "block": 7}])
+def test_jaccard_links(spark, options):
+    of_set = defaultdict(list)
+    for r in ROWS:
+        if shingles(r[1]):
+            of_set[shingles(r[1])].append(r[0])
+    sets, linked = list(of_set), defaultdict(set)
+    for i, a in enumerate(sets):
+        for b in sets[:i]:
+            o = len(a & b)
+            if 100 * o >= 75 * (len(a) + len(b) - o):
+                linked[a].add(b)
+                linked[b].add(a)
+    least = {a: min((i for i in ids if i is not None), default=None) for a, ids in of_set.items()}
+    got = ngram_join.ngram_links(documents(spark), **options).collect()
+    assert all(r["a"] < r["b"] for r in got)
+    assert Counter(frozenset([r["doc_a"], r["doc_b"]]) for r in got) == Counter(frozenset([least[a], least[b]]) for a in sets for b in linked[a] if least[a] < least[b])
+    counts = bag(ngram_join.link_counts(documents(spark), **options).select("doc_id", "copies", "n_links"))
+    assert counts == Counter((least[a], len(of_set[a]), len(of_set[a]) - 1 + sum(len(of_set[b]) for b in linked[a])) for a in sets)
+    assert ngram_join.ngram_links(documents(spark, [])).count() == 0 == ngram_join.link_counts(documents(spark, [])).count()
+
+
 def test_one_row_of_each_group_stays(spark):
     docs = documents(spark)
     kept = ngram_join.keep_one(docs)

@@ -371,39 +371,6 @@ def met_pairs(members: DataFrame, inside: bool) -> DataFrame:
     return dealt.repartition(*_MEET).sortWithinPartitions(*_MEET).mapInArrow(_meet(inside), "x long, y long").distinct()
 
 
-def _across(batches):
-    """Pairs of members of one long list in different components that sizes, places and sketches leave open."""
-    def work(rows):
-        name, group, n, place = (np.array(c, np.int64) for c in zip(*((r[1], r[2], r[3], r[4]) for r in rows), strict=True))
-        order = np.argsort(n, kind="stable")
-        name, group, n, place = name[order], group[order], n[order], place[order]
-        sketch = [np.array(rows[i][5], np.int64) for i in order.tolist()]
-        found = []
-        last = np.searchsorted(n * NUM, n * DEN, side="right")  # partners of i are at most as large as this
-        for i in range(len(name)):
-            j = np.arange(i + 1, last[i])
-            j = j[group[j] != group[i]]
-            j = j[may_link(n[i], place[i], n[j], place[j])]
-            if len(j):
-                differ = sketches_differ(sketch[i], [sketch[x] for x in j.tolist()])
-                j = j[differ <= n[i] + n[j] - 2 * least_overlap(n[i], n[j])]
-                found.extend((min(int(name[i]), int(y)), max(int(name[i]), int(y))) for y in name[j])
-        if found:
-            x, y = zip(*set(found), strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["x", "y"])
-
-    current, held = None, []
-    for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if row[0] != current and held:
-                yield from work(held)
-                held = []
-            current = row[0]
-            held.append(row)
-    if held:
-        yield from work(held)
-
-
 def divide_skip(query: np.ndarray, n_rare: int, others: list[np.ndarray], num: int = NUM, den: int = DEN) -> list[int]:
     """Which of ``others`` (sets in rising order) reach the required overlap with ``query`` (in the common order).
 
@@ -611,13 +578,12 @@ def _groups(join: _Join, pairs: DataFrame, members: DataFrame) -> DataFrame:
     rest = pairs.join(of("x"), "x", "left").join(of("y"), "y", "left").where(apart).select("x", "y").join(closest, ["x", "y"], "left_anti")
     second = join.links(stage(rest, "join-rest"))
     grouped = stage(components(grouped.toDF("a", "b").union(second)), "join-components")
-    long_lists = (members.join(grouped, F.col("x") == F.col("node"), "left")
-                  .select("list", "x", F.coalesce("component", "x").alias("group"), "n", "place"))
+    long_lists = members.join(grouped, F.col("x") == F.col("node"), "left").withColumn("group", F.coalesce("component", "x")).drop("node", "component")
     mixed = long_lists.groupBy("list").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low != high").select("list")
     sketches = join.classes.select(F.col("class").alias("x"), "sketch")
-    members = long_lists.join(mixed, "list", "left_semi").join(sketches, "x").select("list", "x", "group", "n", "place", "sketch")
-    across = members.repartition("list").sortWithinPartitions("list").mapInArrow(_across, "x long, y long")
-    third = join.links(stage(across.distinct(), "join-across"))
+    apart = long_lists.join(mixed, "list", "left_semi").join(sketches, "x").withColumn("earlier", F.array().cast("array<long>"))
+    across = met_pairs(apart, inside=False)
+    third = join.links(stage(across, "join-across"))
     grouped = stage(components(grouped.toDF("a", "b").union(third)), "join-components")
     named = (join.classes.join(grouped, F.col("class") == F.col("node"), "left")
              .select("class", "least_doc", F.coalesce("component", "class").alias("group")))

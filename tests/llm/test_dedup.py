@@ -89,6 +89,28 @@ def test_jaccard_links(spark, options):
     assert ngram_join.ngram_links(documents(spark, [])).count() == 0 == ngram_join.link_counts(documents(spark, [])).count()
 
 
+def test_a_long_list_is_dealt_in_blocks(spark):
+    rng, block = np.random.Generator(np.random.PCG64(6)), 10
+    sizes = np.sort(rng.integers(60, 140, 300))
+    kinds = ngram_join.size_class(sizes)
+    many = {int(c): -(-int((kinds == c).sum()) // block) for c in set(kinds.tolist())}
+    seen, rows = Counter(), []
+    for i, (n, c) in enumerate(zip(sizes.tolist(), kinds.tolist(), strict=True)):
+        rows.append((1, i, n, c, seen[c] // block, many[c], many.get(c - 1, 0), many.get(c + 1, 0)))
+        seen[c] += 1
+    members = spark.createDataFrame(rows, "list long, x long, n int, size int, block int, own int, below int, above int")
+    work = defaultdict(lambda: ([], []))
+    for r in ngram_join.block_pairs(members).collect():
+        work[(r["low"], r["a"], r["step"], r["b"])][r["side"]].append(r["x"])
+    assert max(len(a) + len(b) for a, b in work.values()) <= 2 * block
+    met = Counter()
+    for (_, a, step, b), (left, right) in work.items():
+        met.update((x, y) for i, x in enumerate(left) for y in left[:i]) if step == 0 and a == b else met.update((x, y) for x in left for y in right)
+    together = Counter(tuple(sorted(p)) for p in met.elements())
+    assert set(together.values()) == {1}
+    assert all((i, j) in together for j in range(300) for i in range(j) if 100 * sizes[i] >= 75 * sizes[j])
+
+
 def test_one_row_of_each_group_stays(spark):
     docs = documents(spark)
     kept = ngram_join.keep_one(docs)

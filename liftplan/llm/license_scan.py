@@ -3,6 +3,10 @@
 Every rolling word k-gram of a text is joined, by hash, to the places of the same k-gram in license templates. A match votes for the
 diagonal text place - template place, and votes are counted per text, template and diagonal. Diagonals next to each other
 (words put in or left out) are merged into spans; spans with enough votes are verified against the words of the text.
+
+A notice of n words may lack or replace a share of them. So many changed words leave a number of its 2-grams, and that number is
+what must vote, on diagonals that may lie up to n apart: every notice with at most so many departures (a word changed or left out, or a run put
+in), that all in all move its words by n places at most, reaches the verification.
 """
 
 from __future__ import annotations
@@ -47,13 +51,14 @@ TEMPLATES = (
     ("apache-2.0", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("all-rights-reserved", "all rights reserved"),
     ("all-rights-reserved", "all rights reserved no part of this publication may be reproduced"),
 )
-#: Lengths of k-grams: phrases of two words take the first, everything else the second.
+#: Lengths of k-grams: notices with room for changed words and names of two or three words take the first, everything else the second.
 SHORT, LONG = 2, 4
-#: Diagonals this close belong to one span.
+#: Diagonals of a name this close belong to one span.
 NEIGHBOURS = 3
-#: Share of a template's k-grams that must vote, and of its words that must stand in the span in their order.
+#: Share of a name's k-grams that must vote, and of a notice's words that must stand in the span in their order.
 LEAST_VOTES, LEAST_WORDS = 0.5, 0.75
 #: Templates of up to so many words (names and version numbers) must stand in full.
 WHOLE_WORDS = 12
@@ -65,8 +70,9 @@ def _grams(words: Words, hashes: np.ndarray, k: int) -> np.ndarray:
     return (windows(hashes, k) ^ np.uint64(_SALT[k])).view(np.int64)
 
 
-def _gram_length(n_words: int) -> int:
-    return LONG if n_words >= LONG else SHORT
+def missing_words(n_words: int) -> int:
+    """Words of a template that may be missing."""
+    return 0 if n_words <= WHOLE_WORDS else n_words - int(np.ceil(LEAST_WORDS * n_words))
 
 
 class Template:
@@ -78,9 +84,14 @@ class Template:
         self.words = [block.word(i) for i in range(len(block))]
         if len(self.words) < SHORT:
             raise ValueError(f"a template has {SHORT} words at least: {text!r}")
-        self.k = _gram_length(len(self.words))
+        #: A notice with room for changed words: its votes are counted over diagonals up to its length apart.
+        self.loose = not exact and len(self.words) > WHOLE_WORDS
+        self.k = SHORT if self.loose or len(self.words) < LONG else LONG
         self.grams = _grams(block, block.hashes(), self.k).tolist()
-        self.least = len(self.grams) if exact else max(1, int(np.ceil(LEAST_VOTES * len(self.grams))))
+        if self.loose:
+            self.least = max(1, len(self.grams) - self.k * missing_words(len(self.words)))
+        else:
+            self.least = len(self.grams) if exact else max(1, int(np.ceil(LEAST_VOTES * len(self.grams))))
 
 
 def templates(phrases=PHRASES, more=TEMPLATES) -> list[Template]:
@@ -111,7 +122,8 @@ def _roll():
 def _votes(rows: DataFrame, spark: SparkSession, known: list[Template]) -> DataFrame:
     """Spans (doc_id, tie, template, begin, end, votes) with enough votes."""
     places = spark.createDataFrame([(g, t.number, i) for t in known for i, g in enumerate(t.grams)], "gram long, template int, place int")
-    about = spark.createDataFrame([(t.number, t.least, t.k, 0 if t.exact else NEIGHBOURS) for t in known], "template int, least int, k int, near int")
+    about = spark.createDataFrame([(t.number, t.least, t.k, 0 if t.exact else NEIGHBOURS, t.loose, len(t.words)) for t in known],
+                                  "template int, least int, k int, near int, loose boolean, n int")
     rolled = rows.select("doc_id", "tie", "text").mapInArrow(_roll(), "doc_id long, tie long, short array<long>, long array<long>")
     exploded = [rolled.select("doc_id", "tie", F.posexplode(c).alias("pos", "gram")) for c in ("short", "long")]
     # Templates are a parameter: a few thousand places at most, sent to every task.
@@ -122,7 +134,12 @@ def _votes(rows: DataFrame, spark: SparkSession, known: list[Template]) -> DataF
     of_text = Window.partitionBy("doc_id", "tie", "template").orderBy("diagonal")
     far = F.col("diagonal") - F.lag("diagonal").over(of_text) > F.col("near")
     span = F.sum(F.when(far, 1).otherwise(0)).over(of_text.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    merged = per_diagonal.join(F.broadcast(about), "template").withColumn("span", span)
+    each = per_diagonal.join(F.broadcast(about), "template")
+    chained = each.where("not loose").withColumn("span", span)
+    # Two neighbouring stretches of n diagonals hold any diagonals that are up to n apart.
+    stretch = F.floor(F.col("diagonal") / F.col("n"))
+    stretched = each.where("loose").withColumn("span", F.explode(F.array(stretch, stretch - 1)))
+    merged = chained.unionByName(stretched)
     found = merged.groupBy("doc_id", "tie", "template", "span").agg(
         F.sum("votes").alias("votes"), F.min("low").alias("begin"), (F.max("high") + F.max("k")).alias("end"), F.max("least").alias("least"))
     return found.where("votes >= least").select("doc_id", "tie", "template", "begin", "end", "votes")
@@ -154,7 +171,7 @@ def _verify(known: list[Template]):
         """Starts of phrases, and verified spans."""
         block = Words([text], ALPHANUMERIC, lower=True)
         words = [block.word(i) for i in range(len(block))]
-        base, out = set(), []
+        base, out, seen = set(), [], {}
         for hit in sorted(hits, key=lambda h: (h["template"], h["begin"])):
             t = known[hit["template"]]
             if t.exact:
@@ -164,12 +181,27 @@ def _verify(known: list[Template]):
                     out.append({"label": t.label, "begin": at, "end": at + len(t.words), "similarity": 1.0})
                 continue
             # Words that the votes do not reach at either end of the template may stand around the span.
-            begin, end = max(0, hit["begin"] - len(t.words)), min(len(words), hit["end"] + len(t.words))
-            blocks = SequenceMatcher(None, words[begin:end], t.words, autojunk=False).get_matching_blocks()
-            share = sum(b.size for b in blocks) / len(t.words)
-            if share >= (1 if len(t.words) <= WHOLE_WORDS else LEAST_WORDS):
+            n = len(t.words)
+            parts = [(max(0, hit["begin"] - n), min(len(words), hit["end"] + n))]
+            while parts:
+                begin, end = parts.pop()
+                if end - begin < n - missing_words(n):
+                    continue
+                blocks = SequenceMatcher(None, words[begin:end], t.words, autojunk=False).get_matching_blocks()
                 real = [b for b in blocks if b.size]
-                out.append({"label": t.label, "begin": begin + real[0].a, "end": begin + real[-1].a + real[-1].size, "similarity": share})
+                if sum(b.size for b in real) < n - missing_words(n):
+                    continue
+                first, last = begin + real[0].a, begin + real[-1].a + real[-1].size
+                seen.setdefault(t.number, []).append((-sum(b.size for b in real) / n, first, last))
+                # A second notice of the same kind may stand beside it.
+                parts += [(begin, first), (last, end)] if t.loose else []
+        for number, spans_of in seen.items():
+            # Windows overlap: of spans that do, the most similar one stays.
+            taken = []
+            for share, first, last in sorted(set(spans_of)):
+                if all(last <= a or first >= b for a, b in taken):
+                    taken.append((first, last))
+                    out.append({"label": known[number].label, "begin": first, "end": last, "similarity": -share})
         return base, out
 
     def run(batches):

@@ -124,6 +124,28 @@ def test_license_scan(spark):
     assert license_scan.license_scan(documents(spark, [])).count() == 0
 
 
+def test_changed_notices_keep_their_labels(spark):
+    rng = random.Random(2)
+    say = lambda k: [f"v{rng.randint(0, 500)}" for _ in range(k)]
+    around = lambda words: " ".join([*say(300), *words, *say(300)])
+    notices = [(label, text.split()) for label, text in license_scan.TEMPLATES if len(text.split()) > license_scan.WHOLE_WORDS]
+    cases = []
+    for label, words in notices:
+        n, half = len(words), len(words) // 2
+        cases += [(label, [w if i % 7 != 6 else "other" for i, w in enumerate(words)]), (label, [w if i % 4 != 3 else "other" for i, w in enumerate(words)]),
+                  (label, [w for i, w in enumerate(words) if i % 4 != 3])]
+        cases += [(label, [*words[:half], *say(k), *words[half:]]) for k in (4, n // 2, n)]
+        cases += [("", [w if i % 2 else "other" for i, w in enumerate(words)])]
+    cases += [("all-rights-reserved", "copyright 2020 all rights reserved by them".split()), ("", "all rights are reserved".split()[:3])]
+    made = license_scan.license_scan(documents(spark, [(i, around(w), "en", "a", 0) for i, (_, w) in enumerate(cases)])).collect()
+    got = {r["doc_id"]: r["labels"] for r in made}
+    assert [(i, label) for i, (label, _) in enumerate(cases) if label not in got[i].split(",")] == []
+    twice = [*notices[0][1], *say(5), *notices[0][1]]
+    spans = license_scan.license_scan(documents(spark, [(1, around(twice), "en", "a", 0)])).first()["spans"]
+    n = len(notices[0][1])
+    assert sorted((s["begin"], s["end"]) for s in spans if s["label"] == notices[0][0]) == [(300, 300 + n), (305 + n, 305 + 2 * n)]
+
+
 @pytest.fixture(scope="module")
 def corpus(spark, tmp_path_factory):
     """A folder with documents, labels and a benchmark."""

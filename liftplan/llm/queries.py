@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from liftplan.llm import decontaminate, exact_dedup, license_scan, mixing, ngram_join, sharding, substring_dedup, token_file, toxicity, warc
+from liftplan.llm import (decontaminate, exact_dedup, hard_negatives, license_scan, mixing, ngram_join, prefix_trie, sharding, substring_dedup,
+                          token_file, toxicity, warc)
 from liftplan.llm.shared import prepare, table
 from liftplan.session import scratch_path
 
@@ -149,3 +150,16 @@ def licenses(spark, folder):
     """License phrases and notices in each document."""
     made = license_scan.license_scan(table(spark, folder, "documents"))
     return made.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+@query("op11_hilbert_negatives", hard_negatives.oracle())
+def negatives(spark, folder):
+    """Hard negatives of every hundredth vector; labels of every seventh are moved on by one."""
+    moved = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    return hard_negatives.hard_negatives(table(spark, folder, "embeddings").withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+@query("op12_prefix_trie", prefix_trie.oracle())
+def trie(spark, folder):
+    """Nodes of the prefix trie of conversations rebuilt on shared heads."""
+    return prefix_trie.prefix_trie(prefix_trie.shared_heads(table(spark, folder, "conversations")))

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from liftplan.llm import (decontaminate, exact_dedup, hard_negatives, license_scan, mixing, ngram_join, prefix_trie, sharding, substring_dedup,
-                          token_file, toxicity, warc)
+from liftplan.llm import (decontaminate, exact_dedup, hard_negatives, license_scan, mixing, ngram_join, packing, prefix_trie, sharding,
+                          substring_dedup, token_file, toxicity, warc)
 from liftplan.llm.shared import prepare, table
 from liftplan.session import scratch_path
 
@@ -163,3 +163,11 @@ def negatives(spark, folder):
 def trie(spark, folder):
     """Nodes of the prefix trie of conversations rebuilt on shared heads."""
     return prefix_trie.prefix_trie(prefix_trie.shared_heads(table(spark, folder, "conversations")))
+
+
+@query("op13_best_fit_packing")
+def packed(spark, folder):
+    """Pieces of all documents in sequences of at most 4,096 tokens."""
+    import public_tokenizers
+
+    return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)

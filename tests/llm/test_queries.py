@@ -18,7 +18,7 @@ def test_query(spark, key):
     assert rows
     if key in entry.oracle_sql():
         con = duckdb.connect()
-        for name in ("documents", "pages", "benchmark"):
+        for name in ("documents", "pages", "benchmark", "embeddings", "conversations"):
             con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{FOLDER}/{name}.parquet'")
         result = con.execute(entry.oracle_sql()[key])
         names = [d[0] for d in result.description]
@@ -28,4 +28,4 @@ def test_query(spark, key):
 
 
 def test_every_operator_has_a_query():
-    assert [sum(k.startswith(f"op{n}_") for k in KEYS) for n in range(1, 11)] == [1] * 10 and "pipeline" in KEYS
+    assert [sum(k.startswith(f"op{n}_") for k in KEYS) for n in range(1, 14)] == [1] * 13 and "pipeline" in KEYS

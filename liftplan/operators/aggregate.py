@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from liftplan.operators.dedup import first_per_key
@@ -41,6 +41,28 @@ def concat_text(df: DataFrame, keys: Sequence[str], column: str, sep: str = ", "
             .select(*keys, F.array_join(texts, sep).alias(column)))
 
 
+def concat_pieces(df: DataFrame, keys: Sequence[str], column: str, sep: str = ", ", piece_chars: int = 1 << 20) -> DataFrame:
+    """The text of :func:`concat_text` in numbered pieces: keys, piece (from 0), text; joined by ``sep`` in order they are that text.
+
+    For keys whose text is more than a task can hold. Rows are range-partitioned by key and text, so a large key lies in many partitions. Inside a
+    partition texts are summed up in order and cut into pieces of about ``piece_chars`` characters; a single text is never cut. Pieces are
+    numbered by partition and place, over pieces only. A key without any text has one empty piece.
+    """
+    rows = df.select(*keys, column).withColumn("__tie", F.monotonically_increasing_id())
+    # The tie parts equal texts of one key.
+    placed = rows.repartitionByRange(*keys, column, "__tie").withColumn("__part", F.spark_partition_id())
+    inside = Window.partitionBy(*keys, "__part").orderBy(column, "__tie")
+    before = F.sum(F.length(column) + len(sep)).over(inside.rowsBetween(Window.unboundedPreceding, -1))
+    numbered = placed.withColumn("__piece", F.coalesce(F.floor(before / piece_chars), F.lit(0)))
+    # array_sort puts the texts of a piece, a bounded number of characters, back in order.
+    pieces = numbered.groupBy(*keys, "__part", "__piece").agg(F.array_join(F.array_sort(F.collect_list(column)), sep).alias("__text"), F.count(column).alias("__n"))
+    pieces = pieces.withColumn("__any", F.max("__n").over(Window.partitionBy(*keys)))
+    full = pieces.where((F.col("__n") > 0) | (F.col("__any") == 0))
+    order = F.row_number().over(Window.partitionBy(*keys).orderBy("__part", "__piece")) - 1
+    numbered = full.withColumn("piece", order)
+    return numbered.where((F.col("__any") > 0) | (F.col("piece") == 0)).select(*keys, "piece", F.col("__text").alias(column))
+
+
 def nth_values(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
                take: Mapping[str, tuple[str, int]]) -> DataFrame:
     """Values at fixed places of each key's ordered rows, counted from 0.

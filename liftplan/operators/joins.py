@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from liftplan.operators.columns import common_columns
 from liftplan.operators.dedup import top1_per_key
+from liftplan.operators.keyed import Keyed
 
 
 #: Keys over which rows without details are spread.
@@ -20,9 +21,9 @@ def _all(tests: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, tests)
 
 
-def lookup(df: DataFrame, dim: DataFrame, on: Mapping[str, str], take: Mapping[str, str],
+def lookup(df: DataFrame | Keyed, dim: DataFrame | Keyed, on: Mapping[str, str], take: Mapping[str, str],
            how: str = "left", fill: bool | Sequence[str] = False,
-           one_to_one: Sequence[Column | str] | None = None, details: bool = False) -> DataFrame:
+           one_to_one: Sequence[Column | str] | None = None, details: bool = False) -> DataFrame | Keyed:
     """Equi-join a dimension and take some of its columns under new names.
 
     ``on``    column of ``df`` -> column of ``dim``.
@@ -39,7 +40,25 @@ def lookup(df: DataFrame, dim: DataFrame, on: Mapping[str, str], take: Mapping[s
     The dimension's columns are renamed before the join, so one dimension can
     be looked up any number of times. No side is broadcast by hint: sizes seen
     at run time decide, and skewed keys are split there.
+
+    A dimension with known keys (:class:`Keyed`) that is unique over the join
+    columns gets the plain left join: it needs neither ``one_to_one`` nor
+    ``details``, because a hot key can only be on the left, where Spark splits
+    it. If ``df`` has known keys, so has the result.
     """
+    if isinstance(df, Keyed):
+        known = dim if isinstance(dim, Keyed) else Keyed(dim)
+        if one_to_one is not None:
+            known = known.best(list(on.values()), one_to_one)
+        made = lookup(df.df, known, on, take, how, fill, None, details)
+        filled = list(take) if fill is True else list(fill or ())
+        lost = {n.lower() for n in filled}
+        kept = Keyed(df.df, frozenset(k for k in df.keys if not k & lost))
+        return kept.joined(made, known, on, {source: name for name, source in take.items() if name not in filled})
+    if isinstance(dim, Keyed):
+        if dim.unique_over(on.values()):
+            one_to_one, details = None, False
+        dim = dim.df
     if one_to_one is not None:
         dim = top1_per_key(dim, list(on.values()), one_to_one)
     filled = list(take) if fill is True else list(fill or ())
@@ -63,14 +82,37 @@ def _with_fillers(df: DataFrame, right: DataFrame, keys: Mapping[str, str]) -> D
     """Left join as an inner join with filler rows; ``keys`` maps columns of ``df`` to those of ``right``."""
     names = list(keys.values())
     known = right.where(_all([F.col(k).isNotNull() for k in names]))
-    # One row per key: the left side of this join can be split.
-    met = known.select(*names).distinct().withColumnsRenamed({k: f"__met{k}" for k in names}).withColumn("__has", F.lit(True))
-    marked = df.join(met, _all([F.col(c) == F.col(f"__met{k}") for c, k in keys.items()]), "left").withColumn(
-        "__spread", F.when(F.col("__has").isNull(), F.monotonically_increasing_id() % FILLERS).otherwise(F.lit(-1)).cast("long"))
-    fillers = df.sparkSession.range(FILLERS).toDF("__filler")
-    rows = known.withColumn("__filler", F.lit(-1).cast("long")).unionByName(fillers, allowMissingColumns=True)
-    match = _all([F.col("__spread") == F.col("__filler"), *[F.col(f"__met{k}").eqNullSafe(F.col(k)) for k in names]])
-    return marked.join(rows, match, "inner").drop("__has", "__spread", "__filler", *[f"__met{k}" for k in names])
+    marked = _marked(df, right, keys, "left", 0)
+    rows = known.withColumn("__code_right", F.lit(-1).cast("long")).withColumns({f"__at_{i}": F.col(k) for i, k in enumerate(names)})
+    rows = rows.unionByName(_fillers(df.sparkSession, "right", 0), allowMissingColumns=True)
+    return marked.join(rows, _met_or_filler("left", "right", len(names), marked, rows), "inner").drop(*_marks("left", len(names)), *_marks("right", len(names)))
+
+
+def _marks(side: str, n: int) -> list[str]:
+    return [f"__code_{side}", *[f"__{'to' if side == 'left' else 'at'}_{i}" for i in range(n)]]
+
+
+def _marked(df: DataFrame, other: DataFrame, keys: Mapping[str, str], side: str, first: int) -> DataFrame:
+    """Rows with their code: -1 if ``other`` holds their key, else one of ``FILLERS`` numbers from ``first``, and their keys if it does.
+
+    ``keys`` maps columns of ``df`` to those of ``other``. ``other`` is reduced to one row per key, so a hot key of ``df`` can be split.
+    """
+    code, *to = _marks(side, len(keys))
+    present = other.where(_all([F.col(k).isNotNull() for k in keys.values()]))
+    met = present.select(*[F.col(k).alias(t) for k, t in zip(keys.values(), to, strict=True)]).distinct().withColumn("__has", F.lit(True))
+    marked = df.join(met, _all([F.col(c) == F.col(t) for c, t in zip(keys, to, strict=True)]), "left")
+    spread = F.when(F.col("__has").isNull(), F.monotonically_increasing_id() % FILLERS + first).otherwise(F.lit(-1)).cast("long")
+    return marked.withColumn(code, spread).drop("__has")
+
+
+def _fillers(spark: SparkSession, side: str, first: int) -> DataFrame:
+    """Rows with a code only, which rows without a partner meet."""
+    return spark.range(first, first + FILLERS).toDF(f"__code_{side}")
+
+
+def _met_or_filler(a: str, b: str, n: int, left: DataFrame, right: DataFrame) -> Column:
+    (code_a, *to_a), (code_b, *to_b) = _marks(a, n), _marks(b, n)
+    return _all([left[code_a] == right[code_b], *[left[x].eqNullSafe(right[y]) for x, y in zip(to_a, to_b, strict=True)]])
 
 
 def full_join_fill(a: DataFrame, b: DataFrame, on: Mapping[str, str],
@@ -82,11 +124,13 @@ def full_join_fill(a: DataFrame, b: DataFrame, on: Mapping[str, str],
     column names. ``fill`` maps a result name to the pair (column of ``a``,
     column of ``b``) it takes its first non-null value from.
 
-    The full join is built as a left join plus the rows of ``b`` that no key
-    of ``a`` meets. Spark can split a hot key of ``a`` in a left join, which it
-    cannot do in a full one, and the second part sees each key of ``a`` once.
-    ``unique_keys`` says that no key repeats on either side; a plain full join,
-    with one pass over each, then has no hot keys to fear.
+    Spark cannot split a hot key in a full join. Each side's rows are marked
+    with whether the other side holds their key (its distinct keys are all that
+    is read of it for that); then one inner join, in which Spark splits a hot key of
+    either side, lets rows with partners meet them and the others meet filler
+    rows, spread over ``FILLERS`` codes per side. Whole rows of each input are read once.
+    ``unique_keys`` says that no key repeats on either side; a plain full join
+    then has no hot keys to fear.
     """
     clash = {c.lower() for c in a.columns} & {c.lower() for c in b.columns}
     if clash:
@@ -95,14 +139,20 @@ def full_join_fill(a: DataFrame, b: DataFrame, on: Mapping[str, str],
     if unique_keys:
         joined = a.join(b, match, "full")
     else:
-        met = a.select(*on).distinct()
-        joined = a.join(b, match, "left").unionByName(
-            b.join(met, match, "left_anti"), allowMissingColumns=True)
+        joined = _full_with_fillers(a, b, on)
     if fill:
         joined = joined.withColumns({n: F.coalesce(F.col(x), F.col(y)) for n, (x, y) in fill.items()})
     return joined
 
 
+def _full_with_fillers(a: DataFrame, b: DataFrame, on: Mapping[str, str]) -> DataFrame:
+    """Full join as one inner join: rows of ``a`` without partners have the codes of fillers of ``b``, and the other way round."""
+    n = len(on)
+    left = _marked(a, b, on, "left", 0).unionByName(_fillers(a.sparkSession, "left", FILLERS), allowMissingColumns=True)
+    right = _marked(b, a, {y: x for x, y in on.items()}, "right", FILLERS).unionByName(_fillers(a.sparkSession, "right", 0), allowMissingColumns=True)
+    return left.join(right, _met_or_filler("left", "right", n, left, right), "inner").drop(*_marks("left", n), *_marks("right", n))
+
+
 def merge_newer(old: DataFrame, new: DataFrame, keys: Sequence[str],
                 keep_history: bool = True, unique_keys: bool = False) -> DataFrame:
     """Merge two versions of a table; a new value wins where it is not null.

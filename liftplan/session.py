@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -70,6 +71,28 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_by_key(df: DataFrame, label: str, keys: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """:func:`stage` with the rows dealt into buckets by ``keys`` and sorted by them inside each.
+
+    Joins and groupings on these keys, one after the other, read the buckets as they lie: no shuffle above the scan, where both sides
+    have the same number of buckets (default: the session's shuffle partitions). The layout is kept in the session's catalog, as Spark's
+    bucketed tables are; the table goes with the enclosing ``staging`` block. A key that holds a large share of all
+    rows makes one large bucket, so frames with hot keys are staged plainly and shuffled, where Spark splits them.
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, label)
+    name = re.sub(r"\W", "_", path.rsplit("/", 1)[1])
+    owned = _owned.get()
+    if owned is not None:
+        owned.append(path)
+        owned.append(f"table:{name}")
+    # Dealt the same way before the write, so that a bucket is one file.
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
     """Drop the frames staged inside the block at its end, and no others.
@@ -85,6 +108,9 @@ def staging(spark: SparkSession) -> Iterator[None]:
     finally:
         _owned.reset(token)
         for path in mine:
+            if path.startswith("table:"):
+                spark.sql(f"DROP TABLE IF EXISTS {path.removeprefix('table:')}")
+                continue
             fs, handle, _ = hadoop_fs(spark, path)
             fs.delete(handle, True)
 

@@ -205,6 +205,24 @@ group by l_suppkey, l_partkey, p_size, p_type, p_brand, p_name, l_linestatus""",
 }
 
 
+#: Keys of the derived tables, as their sources declare them.
+DOMAIN_KEYS: dict[str, list[tuple[str, ...]]] = {
+    "contract_item": [("vbeln", "posnr")],
+    "document_flow": [("vbelv", "vbeln")],
+    "contract_commercial": [("vbeln", "posnr")],
+    "contract_commercial_head": [("vbeln",)],
+    "price_condition": [("knumv", "kposn", "kschl")],
+    "price_condition_head": [("knumv", "kposn", "kschl")],
+    "billing_item": [("vbeln", "posnr")],
+    "billing_header": [("vbeln",)],
+    "customer_name": [("kunnr",)],
+    "material_master": [("matnr",)],
+    "site": [("werks",)],
+    "movement": [("mblnr", "zeile")],
+    "purchase_header": [("ebeln",)],
+}
+
+
 def domain_catalog(inputs) -> Catalog:
     """Catalog of the derived tables, opened by Spark.
 
@@ -216,7 +234,7 @@ def domain_catalog(inputs) -> Catalog:
 
     catalog = Catalog()
     for name, text in DOMAIN_SQL.items():
-        catalog.bind(name, opened(text))
+        catalog.bind(name, opened(text), DOMAIN_KEYS.get(name, ()))
     return catalog
 
 

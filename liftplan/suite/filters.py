@@ -9,6 +9,8 @@ from liftplan.operators.filters import (
     covers, in_list, in_period, non_blank, non_empty, not_in, remove_where, text_date_between, year_is,
 )
 from liftplan.operators.joins import lookup
+from liftplan.session import scratch_path
+from liftplan.sources import Catalog, TableSpec, curated_scan, replace
 from liftplan.suite.registry import AS_OF, query
 
 
@@ -70,6 +72,17 @@ def flt_text_date_range(t):
     return rows.where(text_date_between("shipped", "1997-09-01", "1998-06-30"))
 
 
+@query("flt_month_folders", """
+SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y%m%d') AS shipped FROM lineitem
+WHERE l_shipdate >= DATE '1997-09-15' AND l_shipdate < DATE '1998-02-11'""")
+def flt_month_folders(t):
+    """Text dates of a table stored by month: only the folders of six months are read."""
+    spec = TableSpec("parquet", scratch_path(t.spark, "by-month"), months={"shipped": "ship_month"})
+    replace(t.lineitem.select("l_orderkey", "l_linenumber", text_yyyymmdd("l_shipdate").alias("shipped")), spec)
+    day = lambda d: F.lit(d).cast("date")
+    return curated_scan(t.spark, Catalog({"lines": spec}), "lines", distinct=False, text_dates={"shipped": (day("1997-09-15"), day("1998-02-10"))})
+
+
 @query("flt_rolling_window", f"""
 SELECT o_orderkey, 'year_end' AS rule FROM orders
 WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '{AS_OF}' - 100 AND DATE '1998-12-31'

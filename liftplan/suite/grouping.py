@@ -57,6 +57,15 @@ def agg_collect_concat(t):
     return aggregate.concat_text(rows, ["l_orderkey"], "flags")
 
 
+@query("agg_concat_pieces", """
+SELECT l_suppkey, string_agg(l_returnflag, ', ' ORDER BY l_returnflag) AS flags FROM lineitem GROUP BY l_suppkey""")
+def agg_concat_pieces(t):
+    """The texts of all suppliers in pieces of 40 characters, and the pieces put together again."""
+    pieces = aggregate.concat_pieces(t.lineitem.select("l_suppkey", F.col("l_returnflag").alias("flags")), ["l_suppkey"], "flags", piece_chars=40)
+    whole = F.transform(F.array_sort(F.collect_list(F.struct("piece", "flags"))), lambda p: p["flags"])
+    return pieces.groupBy("l_suppkey").agg(F.array_join(whole, ", ").alias("flags"))
+
+
 @query("agg_collect_index", """
 SELECT user_id, max(CASE WHEN rn = 1 THEN event_type END) AS first_type, max(CASE WHEN rn = 2 THEN event_type END) AS second_type,
        max(CASE WHEN rn = 2 THEN value END) AS second_value

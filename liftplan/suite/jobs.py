@@ -11,7 +11,7 @@ from liftplan.plans import (
     contract_raw, contract_summary, delivery_mapping, history, ingest, movements, plan, prototypes,
 )
 from liftplan.session import scratch_path, stage
-from liftplan.sources import Catalog, TableSpec, read_table, replace as write_table
+from liftplan.sources import Catalog, TableSpec, read_table, replace as write_table, write_outputs
 from liftplan.suite.job_sql import MOVED, SUMMED, ties, with_ctes
 from liftplan.suite.joins import _VERSIONS, _versions
 from liftplan.suite.registry import AS_OF, query, rounded
@@ -248,6 +248,34 @@ def job_history_mapping_kept(t):
     return read_table(t.spark, catalog, "mapping_history")
 
 
+_SLICED = "o_orderkey % 16"
+
+
+@query("job_history_touched", f"""WITH {_VERSIONS},
+part AS (SELECT * FROM new WHERE {_SLICED} < 5)
+{_MERGED.replace('new.', 'part.')}, ({_SLICED})::BIGINT AS slice FROM old FULL JOIN part USING (o_orderkey)""")
+def job_history_touched(t):
+    """Five of sixteen slices have new rows; the history's other slices stay where they lie."""
+    old, new = (df.withColumn("slice", F.expr(_SLICED)) for df in _versions(t))
+    catalog = Catalog()
+    for name, df in (("contract_summary", new.where("slice < 5")), ("summary_history", old)):
+        spec = TableSpec("parquet", scratch_path(t.spark, name))
+        write_table(df, spec, partition_by=["slice"])
+        catalog.add(name, spec)
+    history.merge_touched(t.spark, catalog, "contract_summary", "summary_history", ["o_orderkey", "slice"], ["slice"], unique_keys=True)
+    return read_table(t.spark, catalog, "summary_history")
+
+
+@query("job_output_counts", """
+SELECT 'open' AS output, count(*) AS n_rows FROM orders WHERE o_orderstatus = 'O'
+UNION ALL SELECT 'other', count(*) FROM orders WHERE o_orderstatus <> 'O'""")
+def job_output_counts(t):
+    """Rows of each output of a job, counted while they are written."""
+    specs = {n: TableSpec("parquet", scratch_path(t.spark, f"counted-{n}")) for n in ("open", "other")}
+    rows = write_outputs(t.spark, lambda: {"open": t.orders.where("o_orderstatus = 'O'"), "other": t.orders.where("o_orderstatus <> 'O'")}, specs)
+    return t.spark.createDataFrame(sorted(rows.items()), "output string, n_rows long")
+
+
 @query("job_raw_to_curated", "SELECT c_custkey, c_name, c_nationkey::BIGINT AS c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def job_raw_to_curated(t):
     return ingest.raw_to_curated(t.spark, t.catalog, "customer", TableSpec("parquet", scratch_path(t.spark, "curated")))

@@ -9,6 +9,8 @@ from liftplan.functions.keys import pad_code, strip_zeros
 from liftplan.functions.numbers import exact
 from liftplan.operators.aggregate import sum_by
 from liftplan.operators.joins import full_join_fill, lookup, merge_newer
+from liftplan.operators.keyed import Keyed, key_set
+from liftplan.session import stage_by_key
 from liftplan.sources import publish
 from liftplan.suite.registry import query
 
@@ -225,3 +227,40 @@ def jn_star_chain(t):
     for table, view in names.items():
         publish(getattr(t, table), view)
     return t.spark.sql(_STAR.format(items=_STAR_ITEMS.format(**names), **names))
+
+
+@query("jn_keyed_chain", """
+SELECT l_orderkey, l_linenumber, o_orderkey, o_custkey, c_name, n_name
+FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = c_nationkey""")
+def jn_keyed_chain(t):
+    """Lookups whose dimensions declare their keys: each is the plain left join, whatever the caller asked for."""
+    keyed = lambda df, *key: Keyed(df, key_set([key]))
+    df = t.lineitem.select("l_orderkey", "l_linenumber")
+    df = lookup(df, keyed(t.orders, "o_orderkey"), on={"l_orderkey": "o_orderkey"}, take={"o_orderkey": "o_orderkey", "o_custkey": "o_custkey"}, details=True)
+    df = lookup(df, keyed(t.customer, "c_custkey"), on={"o_custkey": "c_custkey"}, take={"c_name": "c_name", "c_nationkey": "c_nationkey"}, details=True)
+    return lookup(df, keyed(t.nation, "n_nationkey"), on={"c_nationkey": "n_nationkey"}, take={"n_name": "n_name"}, details=True).drop("c_nationkey")
+
+
+@query("jn_bucketed_chain", """
+SELECT o_orderkey, o_custkey, l_linenumber, CAST(lines AS BIGINT) AS lines, qty
+FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
+     LEFT JOIN (SELECT l_orderkey AS k, count(*) AS lines, sum(l_quantity) AS qty FROM lineitem GROUP BY 1) g ON k = o_orderkey""")
+def jn_bucketed_chain(t):
+    """Lookups and a grouping on one key over frames staged by it: none of them shuffles again."""
+    orders = stage_by_key(t.orders.select("o_orderkey", "o_custkey"), "orders-by-key", ["o_orderkey"])
+    lines = stage_by_key(t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity"), "lines-by-key", ["l_orderkey"])
+    per_order = lines.groupBy("l_orderkey").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("qty"))
+    df = lookup(orders, lines, on={"o_orderkey": "l_orderkey"}, take={"l_linenumber": "l_linenumber"})
+    return lookup(df, per_order, on={"o_orderkey": "l_orderkey"}, take={"lines": "n", "qty": "qty"})
+
+
+@query("jn_full_details", """
+WITH sold AS (SELECT l_partkey, l_suppkey, l_quantity FROM lineitem WHERE l_returnflag = 'R'),
+sent AS (SELECT l_partkey AS part, l_linenumber FROM lineitem WHERE l_returnflag = 'A' AND l_partkey % 3 = 0)
+SELECT coalesce(l_partkey, part) AS material, l_suppkey, l_quantity, l_linenumber FROM sold FULL JOIN sent ON part = l_partkey""")
+def jn_full_details(t):
+    """Full join of two detail tables: keys repeat on both sides."""
+    sold = t.lineitem.where("l_returnflag = 'R'").select("l_partkey", "l_suppkey", "l_quantity")
+    sent = t.lineitem.where("l_returnflag = 'A' AND l_partkey % 3 = 0").select(F.col("l_partkey").alias("part"), "l_linenumber")
+    made = full_join_fill(sold, sent, on={"l_partkey": "part"}, fill={"material": ("l_partkey", "part")})
+    return made.select("material", "l_suppkey", "l_quantity", "l_linenumber")

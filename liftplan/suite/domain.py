@@ -117,7 +117,11 @@ from {{items}} i""",
     "billing_item": f"""
 select 'I' || {_code('o_orderkey', DOC)} as vbeln, '000010' as posnr, 'S' || {_code('o_orderkey', DOC)} as aubel,
        'T1' as oic_ptrip, {_code('o_orderkey', ORDER)} as oid_miscdl, 'DE01' as vkorg, '02' as vtweg
-from {{orders}} where o_orderstatus <> 'O'""",
+from {{orders}} where o_orderstatus <> 'O'
+union all
+select 'I' || {_code('o_orderkey', DOC)} as vbeln, '000020' as posnr, 'S' || {_code('o_orderkey', DOC)} as aubel,
+       'T2' as oic_ptrip, {_code('o_orderkey', ORDER)} as oid_miscdl, 'DE01' as vkorg, '02' as vtweg
+from {{orders}} where o_orderpriority <> '2-HIGH'""",
     "billing_header": f"""
 select 'I' || {_code('o_orderkey', DOC)} as vbeln, {_code('o_orderkey', ORDER)} as knumv, o_orderpriority as fkart,
        'Z30' as zterm, 'B' as zlsch, {_ymd('o_orderdate')} as erdat, '02' as vtweg, 'DE01' as vkorg

@@ -17,6 +17,7 @@ from liftplan.suite.joins import _VERSIONS, _versions
 from liftplan.suite.registry import AS_OF, query, rounded
 from liftplan.suite.scans import PART_SCHEMA
 
+# Plant codes of the derived tables.
 MERGED_PLANTS = {"D333": "D361"}
 MOVEMENT = movements.MovementOptions(first_day="1995-01-01")
 CONTRACT = contract_raw.ContractOptions(movement=MOVEMENT)
@@ -151,7 +152,7 @@ SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join
   SELECT b.* EXCLUDE (incoterm_1), coalesce(b.incoterm_1, p.incoterm) AS incoterm, p.* EXCLUDE (incoterm, ship_to_number, material_number),
     a.sht_number, a.volume_cbm, a.created_date_time, l.load_id, l.third_party_code, g.partner_sales_group AS si
   FROM ({_BUSINESS}) b
-  LEFT JOIN (SELECT DISTINCT incoterm, ship_to_number, material_number, mot, supply_point, plan_m3, depot_property, density, pricing_period, agreemt_period, fed_contract,
+  FULL JOIN (SELECT DISTINCT incoterm, ship_to_number, material_number, mot, supply_point, plan_m3, depot_property, density, pricing_period, agreemt_period, fed_contract,
              term_plan_period, plan_to, shipping_condition_term, price_basis FROM plan_period) p
     ON p.ship_to_number = b.ship_to_number AND p.material_number = b.material_number AND p.supply_point = b.plant_code AND p.term_plan_period = b.contract_start_period
   LEFT JOIN (SELECT DISTINCT ltrim(sap_contract_number, '0') AS c, ltrim(material_no, '0') AS m, plant_no, sht_number, volume_cbm, min(createddate) AS created_date_time
@@ -159,7 +160,7 @@ SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join
   LEFT JOIN (SELECT ltrim(lidno, '0') AS load_id, lid3cod1 AS third_party_code, ltrim(substr(lidaddon, 1, 16), '0') AS contractno, ltrim(substr(lidaddon, 17, 6), '0') AS item_num
              FROM (SELECT *, row_number() OVER (PARTITION BY lidaddon ORDER BY ca_timestamp DESC, lidno, lid3cod1) AS rn FROM load_registry) WHERE rn = 1) l
     ON l.contractno = b.contract_no AND l.item_num = b.item_number
-  LEFT JOIN group_sheet g ON g.partner = b.ship_to_number)) WHERE rn = 1"""
+  LEFT JOIN group_sheet g ON g.partner = b.ship_to_number WHERE b.contract_no IS NOT NULL)) WHERE rn = 1"""
 _MAPPING_NUMBERS = ("target_quantity", "plan_m3", "density", "plan_to", "volume_cbm", *LIFTED)
 _MAPPING_DATES = ("valid_from", "valid_to", "loading_date", "billing_date")
 _TECHNICAL = ("vbrp_sales_contract_number", "vbap_bukrs", "ebeln", "vbrp_position_number", "vbrk_knumv", "vkorg", "mseg_matnr", "oiposnr", "mseg_werks",

@@ -15,7 +15,8 @@ of its first n - T + 1; only these go into inverted lists, dealt over shards by
 
 ``ngram_links`` and ``link_counts`` decide the pairs inside components too and lose no link.
 
-Long lists are cut into blocks of members of one size class, and pairs of blocks are what tasks are dealt.
+Long lists are cut into blocks of members of one size class, and pairs of blocks are what tasks are dealt. Between components,
+a large component has blocks of its own, which do not meet each other.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
 from liftplan.llm.components import components
-from liftplan.llm.shared import bit_of, filled_bits, stage
+from liftplan.llm.shared import bit_of, filled_bits, free_names, give_back, stage
 from liftplan.llm.words import Words, as_bytes, mix, shingle_sets, spans
 
 SHINGLE = 5
@@ -115,6 +116,7 @@ def _sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[tuple[lis
         ids, texts = batch.column(0).to_pylist(), as_bytes(batch.column(1))
         for a, b in spans(texts):
             yield ids[a:b], shingle_sets(Words(texts[a:b], lower=True), shingle)
+    give_back()
 
 
 _MEMBER_SQL = "doc_id long, class long, n int, sketch array<long>, cells int, counts binary"
@@ -304,6 +306,8 @@ def _lists(short_list: int, block: int = BLOCK):
                 held.append(blob)
         if held:
             yield from work(current, held)
+        held = []
+        give_back()
     return run
 
 
@@ -328,6 +332,45 @@ def block_pairs(members: DataFrame) -> DataFrame:
     return members.select("list", F.explode(F.concat(same, up, down)).alias("at"), *rest).select("list", "at.*", *rest)
 
 
+def block_pairs_apart(members: DataFrame, sketches: DataFrame, block: int = BLOCK) -> DataFrame:
+    """As ``block_pairs``, for pairs of different groups only, with blocks made by group.
+
+    A group with at least a block of members in a size class of a list has blocks of its own there, which need not meet each
+    other; the members of smaller groups share blocks. So a large group costs a row per member and block of other groups, not
+    one per block of its own.
+    """
+    here = ["list", "size"]
+    groups = stage(members.groupBy(*here, "group").agg(F.count("*").alias("many")).withColumn("blocks", F.ceil(F.col("many") / block)), "join-list-groups")
+    large = F.col("many") >= block
+    shared = groups.groupBy(*here).agg(F.ceil(F.coalesce(F.sum(F.when(~large, F.col("many"))), F.lit(0)) / block).alias("shared"),
+                                       F.coalesce(F.sum(F.when(large, F.col("blocks"))), F.lit(0)).alias("rest"))
+    shared = stage(shared.select(*here, "shared", (F.col("shared") + F.col("rest")).alias("blocks")), "join-list-shared")
+    # A list has at most one large group per block of members.
+    upto = F.sum("blocks").over(Window.partitionBy(*here).orderBy("group").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    own = stage(groups.where(large).withColumn("upto", upto).join(shared.select(*here, "shared"), here).select(
+        *here, "group", (F.col("shared") + F.col("upto") - F.col("blocks")).alias("first"), (F.col("shared") + F.col("upto")).alias("end")), "join-list-own")
+    plan = groups.select(*here, "group")
+    for name, step in (("own", 0), ("below", -1), ("above", 1)):
+        near = lambda df: df.withColumn("size", F.col("size") - step)  # noqa: E731, B023
+        plan = plan.join(near(shared.select(*here, F.col("blocks").alias(name), F.col("shared").alias(f"{name}_shared"))), here, "left")
+        plan = plan.join(near(own.select(*here, "group", F.col("first").alias(f"{name}_first"), F.col("end").alias(f"{name}_end"))), [*here, "group"], "left")
+    plan = stage(plan, "join-list-blocks")
+    mine = F.pmod(F.xxhash64("x"), F.when(F.col("own_first").isNull(), F.col("own_shared")).otherwise(F.col("own_end") - F.col("own_first")))
+    placed = members.join(plan, [*here, "group"]).join(sketches, "x").withColumn("at_block", (F.coalesce("own_first", F.lit(0)) + mine).cast("int"))
+    size, block_no = F.col("size"), F.col("at_block")
+
+    def each(name: str, low, a, step, b, side):
+        every = F.when(F.col(name) > 0, F.sequence(F.lit(0), F.col(name).cast("int") - 1)).otherwise(F.array().cast("array<int>"))
+        other = F.filter(every, lambda k: F.col(f"{name}_first").isNull() | (k < F.col(f"{name}_first")) | (k >= F.col(f"{name}_end")))
+        return F.transform(other, lambda k: F.struct(low.alias("low"), a(k).alias("a"), F.lit(step).alias("step"), b(k).alias("b"), side(k).alias("side")))
+
+    same = each("own", size, lambda k: F.least(block_no, k), 0, lambda k: F.greatest(block_no, k), lambda k: (block_no > k).cast("int"))
+    up = each("above", size, lambda k: block_no, 1, lambda k: k, lambda k: F.lit(0))
+    down = each("below", size - 1, lambda k: k, 1, lambda k: block_no, lambda k: F.lit(1))
+    rest = [c for c in [*members.columns, *sketches.columns[1:]] if c not in ("list", "size")]
+    return placed.select("list", F.explode(F.concat(same, up, down)).alias("at"), *rest).select("list", "at.*", *rest)
+
+
 def _meet(inside: bool):
     """Pairs of members of two blocks (or of one) in the same component or in different ones that sizes, places and sketches leave open.
 
@@ -362,12 +405,14 @@ def _meet(inside: bool):
                 held.append(row[5:])
         if held:
             yield from work(current, held)
+        held = []
+        give_back()
     return run
 
 
-def met_pairs(members: DataFrame, inside: bool) -> DataFrame:
-    """Pairs (x, y) of members of long lists in the same component (``inside``) or in different ones that may link."""
-    dealt = block_pairs(members).select(*_MEET, "side", "x", "group", "n", "place", "sketch", "earlier")
+def _met(paired: DataFrame, inside: bool) -> DataFrame:
+    """Pairs (x, y) of members dealt by pairs of blocks in the same group (``inside``) or in different ones that may link."""
+    dealt = paired.select(*_MEET, "side", "x", "group", "n", "place", "sketch", "earlier")
     return dealt.repartition(*_MEET).sortWithinPartitions(*_MEET).mapInArrow(_meet(inside), "x long, y long").distinct()
 
 
@@ -455,6 +500,9 @@ def _search(frequent, sketch_bits: int):
                     ys, others = [], []
         if others:
             yield answer()
+        x = query = None
+        ys, others = [], []
+        give_back()
     return run
 
 
@@ -581,8 +629,8 @@ def _groups(join: _Join, pairs: DataFrame, members: DataFrame) -> DataFrame:
     long_lists = members.join(grouped, F.col("x") == F.col("node"), "left").withColumn("group", F.coalesce("component", "x")).drop("node", "component")
     mixed = long_lists.groupBy("list").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low != high").select("list")
     sketches = join.classes.select(F.col("class").alias("x"), "sketch")
-    apart = long_lists.join(mixed, "list", "left_semi").join(sketches, "x").withColumn("earlier", F.array().cast("array<long>"))
-    across = met_pairs(apart, inside=False)
+    apart = stage(long_lists.join(mixed, "list", "left_semi").select("list", "size", "x", "group", "n", "place"), "join-apart")
+    across = _met(block_pairs_apart(apart, sketches).withColumn("earlier", F.array().cast("array<long>")), inside=False)
     third = join.links(stage(across, "join-across"))
     grouped = stage(components(grouped.toDF("a", "b").union(third)), "join-components")
     named = (join.classes.join(grouped, F.col("class") == F.col("node"), "left")
@@ -612,7 +660,7 @@ def _links(join: _Join) -> DataFrame:
     before = Window.partitionBy("x").orderBy("place", "list").rowsBetween(-EARLIER, -1)
     brought = members.withColumn("earlier", F.collect_list("list").over(before))
     groups = named.join(join.classes.select("class", "sketch"), "class").select(F.col("class").alias("x"), "group", "sketch")
-    inside = met_pairs(brought.join(groups, "x"), inside=True)
+    inside = _met(block_pairs(brought.join(groups, "x")), inside=True)
     return join.links_inside(pairs.select("x", "y").union(inside).distinct(), named)
 
 
@@ -642,10 +690,12 @@ def link_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def class_column(text: Column, shingle: int = SHINGLE) -> Column:
     """Class of a text's shingle set; null for a text without words."""
     @pandas_udf("long")
-    def name(texts):
-        raw = [t.encode() if isinstance(t, str) else b"" for t in texts]
-        sets = [x for a, b in spans(raw) for x in shingle_sets(Words(raw[a:b], lower=True), shingle)]
-        return pd.Series([class_of(x) if len(x) else None for x in sets], index=texts.index, dtype="Int64")
+    def name(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            raw = [t.encode() if isinstance(t, str) else b"" for t in texts]
+            sets = [x for a, b in spans(raw) for x in shingle_sets(Words(raw[a:b], lower=True), shingle)]
+            yield pd.Series([class_of(x) if len(x) else None for x in sets], index=texts.index, dtype="Int64")
+        give_back()
 
     return name(text)
 
@@ -656,13 +706,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     Rows without words all stay. Where several rows have that id, the one with the smallest class and text hash stays.
     """
     join = _Join(docs, id_col, text_col, shingle, None, SHORT_LIST)
-    groups = _groups(join, *join.candidates()).select(
-        F.col("class").alias("__class"), F.col("group").alias("__group"), F.col("component_id").alias("__least"))
-    named = docs.withColumn("__class", class_column(F.col(f"`{text_col}`"), shingle)).join(groups, "__class", "left")
+    name, group, least, alone, place = free_names(docs, "class", "group", "least", "alone", "place")
+    groups = _groups(join, *join.candidates()).select(F.col("class").alias(name), F.col("group").alias(group), F.col("component_id").alias(least))
+    named = docs.withColumn(name, class_column(F.col(f"`{text_col}`"), shingle)).join(groups, name, "left")
     # Nearly always a single row of each group passes the test, so a group of any size is one row when rows meet.
-    first = named.where(F.col("__class").isNull() | F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__least")))
+    first = named.where(F.col(name).isNull() | F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(least)))
     # Rows without words get a group of their own each.
-    alone = F.when(F.col("__class").isNull(), F.monotonically_increasing_id())
-    place = F.row_number().over(Window.partitionBy(F.col("__group"), F.col("__alone")).orderBy("__class", F.xxhash64(F.col(f"`{text_col}`"))))
-    return (first.withColumn("__alone", alone).withColumn("__place", place).where("__place = 1")
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    first = first.withColumn(alone, F.when(F.col(name).isNull(), F.monotonically_increasing_id()))
+    order = F.row_number().over(Window.partitionBy(group, alone).orderBy(name, F.xxhash64(F.col(f"`{text_col}`"))))
+    return first.withColumn(place, order).where(F.col(place) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])

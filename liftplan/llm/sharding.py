@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from liftplan.llm.shared import stage
+from liftplan.llm.shared import free_names, stage
 
 N_SLOTS = 4096
 
@@ -107,11 +107,13 @@ def shard_documents(docs: DataFrame, map_path: str, n_shards: int, id_col: str =
 def with_shards(docs: DataFrame, map_path: str, n_shards: int, id_col: str = "doc_id", text_col: str = "text", n_slots: int = N_SLOTS) -> DataFrame:
     """The rows, with all columns, and their virtual_slot and shard; texts are read where they lie. The map is stored at ``map_path``.
 
-    Columns of ``docs`` with these two names are replaced.
+    Columns of ``docs`` with these two names are replaced; all others stay as they are, whatever their names. Null text counts as empty, a null id goes by its
+    text, equal ids share a slot, and an empty table gives an empty result.
     """
     save_map(docs.sparkSession, map_path, slot_stats(stage(sized(docs, id_col, text_col, n_slots), "shard-sizes"), n_slots), n_shards)
-    slots = read_map(docs.sparkSession, map_path, 1).select(F.col("virtual_slot").alias("__slot"), F.col("shard").alias("__shard"))
-    own = [c for c in docs.columns if c.lower() not in ("virtual_slot", "shard")]
-    placed = docs.withColumn("__own", _row_slot(id_col, F.coalesce(F.col(f"`{text_col}`"), F.lit("")), n_slots))
-    return (placed.join(F.broadcast(slots), F.col("__own") == F.col("__slot"))
-            .select(*[F.col(f"`{c}`") for c in own], F.col("__slot").alias("virtual_slot"), F.col("__shard").alias("shard")))
+    own, slot, shard = free_names(docs, "own", "slot", "shard")
+    slots = read_map(docs.sparkSession, map_path, 1).select(F.col("virtual_slot").alias(slot), F.col("shard").alias(shard))
+    kept = [c for c in docs.columns if c.lower() not in ("virtual_slot", "shard")]
+    placed = docs.withColumn(own, _row_slot(id_col, F.coalesce(F.col(f"`{text_col}`"), F.lit("")), n_slots))
+    return (placed.join(F.broadcast(slots), F.col(own) == F.col(slot))
+            .select(*[F.col(f"`{c}`") for c in kept], F.col(slot).alias("virtual_slot"), F.col(shard).alias("shard")))

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,4 +52,23 @@ def bit_of(filled: np.ndarray, value: int) -> bool:
     return bool(filled[cell >> 3] >> (cell & 7) & 1)
 
 
-__all__ = ["ARROW_BATCH_BYTES", "ascii_lower", "bit_of", "filled_bits", "prepare", "stage", "table"]
+def give_back() -> None:
+    """Hand this worker process's freed memory back to the system; it lives on for the tasks of other steps."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Column names that ``df`` does not have, one for each wanted."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        free = f"__{name}"
+        while free in taken:
+            free += "_"
+        taken.add(free)
+        out.append(free)
+    return out
+
+
+__all__ = ["ARROW_BATCH_BYTES", "ascii_lower", "bit_of", "filled_bits", "free_names", "give_back", "prepare", "stage", "table"]

@@ -111,6 +111,35 @@ def test_a_long_list_is_dealt_in_blocks(spark):
     assert all((i, j) in together for j in range(300) for i in range(j) if 100 * sizes[i] >= 75 * sizes[j])
 
 
+def test_a_large_group_does_not_meet_itself(spark):
+    """Members of different groups meet in one pair of blocks; a large group has a row per member and block of the others."""
+    rng, block = np.random.Generator(np.random.PCG64(8)), 10
+    sizes = np.sort(rng.integers(60, 140, 300)).tolist()
+    groups = [0 if rng.random() < 0.6 else int(rng.integers(1, 40)) for _ in sizes]
+    kinds = ngram_join.size_class(np.array(sizes)).tolist()
+    members = spark.createDataFrame([(1, c, x, g, n, 0) for x, (c, g, n) in enumerate(zip(kinds, groups, sizes, strict=True))],
+                                    "list long, size int, x long, group long, n int, place int")
+    sketches = spark.createDataFrame([(x, [x]) for x in range(300)], "x long, sketch array<long>")
+    work, rows = defaultdict(lambda: ([], [])), Counter()
+    for r in ngram_join.block_pairs_apart(members, sketches, block).collect():
+        assert list(r["sketch"]) == [r["x"]]
+        work[(r["low"], r["a"], r["step"], r["b"])][r["side"]].append(r["x"])
+        rows[r["x"]] += 1
+    met = Counter()
+    for (_, a, step, b), (left, right) in work.items():
+        assert max(len(left), len(right)) <= 4 * block  # dealt by hash
+        met.update((x, y) for i, x in enumerate(left) for y in left[:i]) if step == 0 and a == b else met.update((x, y) for x in left for y in right)
+    together = Counter(tuple(sorted(p)) for p in met.elements())
+    assert set(together.values()) == {1}
+    assert all((i, j) in together for j in range(300) for i in range(j) if groups[i] != groups[j] and 100 * sizes[i] >= 75 * sizes[j])
+    # Where the group fills less than a block of a size class, it shares blocks with others.
+    many = Counter(c for c, g in zip(kinds, groups, strict=True) if g == 0)
+    large = {x for x in range(300) if groups[x] == 0 and many[kinds[x]] >= block}
+    assert len(large) > 100 and not [p for p in together if large.issuperset(p)]
+    others = -(-sum(g != 0 for g in groups) // block) + 2 * len(set(kinds))
+    assert max(rows[x] for x in large) <= others
+
+
 def test_one_row_of_each_group_stays(spark):
     docs = documents(spark)
     kept = ngram_join.keep_one(docs)

@@ -24,6 +24,8 @@ RANGE_BYTES = 4 << 20
 #: Bytes of an archive before the next one of the same task is begun.
 ARCHIVE_BYTES = 64 << 20
 READ_BYTES = 1 << 18
+#: Tasks of a read at most; each then takes several ranges.
+MOST_TASKS = 100_000
 MAGIC = b"\x1f\x8b\x08"
 DATE = "2024-01-01T00:00:00Z"
 _DIGEST_NAME = "urn:x-row:"
@@ -53,23 +55,24 @@ def _writer(folder: str, archive_bytes: int):
         fs, base = pyarrow.fs.FileSystem.from_uri(folder)
         fs.create_dir(base, recursive=True)
         out = name = None
-        size = n = 0
+        size, starts = 0, []
 
         def close():
             nonlocal out
             out.close()
             out = None
-            return pa.RecordBatch.from_pydict({"archive": [name], "bytes": [size], "n_records": [n]})
+            return pa.RecordBatch.from_pydict({"archive": [name], "bytes": [size], "n_records": [len(starts)], "starts": pa.array([starts], pa.list_(pa.int64()))})
 
         for batch in batches:
             columns = batch.to_pydict()
             for kind, page_id, url, html, digest, refers in zip(*(columns[c] for c in ("record_type", "page_id", "url", "html", "sha1", "refers_to")), strict=True):
                 if out is None:
-                    name, size, n = f"{uuid.uuid4().hex}.warc.gz", 0, 0
+                    name, size, starts = f"{uuid.uuid4().hex}.warc.gz", 0, []
                     out = fs.open_output_stream(f"{base}/{name}", compression=None)
                 made = member(record(kind, page_id, url, html, base64.b32encode(bytes.fromhex(digest)).decode(), refers))
                 out.write(made)
-                size, n = size + len(made), n + 1
+                starts.append(size)
+                size += len(made)
                 if size >= archive_bytes:
                     yield close()
         if out is not None:
@@ -94,7 +97,7 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     revisit = (F.col("n_bytes") >= least_bytes) & F.col("owner").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("owner"))
     typed = (sized.join(owners, "sha1", "left").withColumn("record_type", F.when(revisit, "revisit").otherwise("response"))
              .select("record_type", "page_id", "url", "html", "sha1", F.when(revisit, F.col("owner")).alias("refers_to")))
-    typed.mapInArrow(_writer(f"{folder}/archives", archive_bytes), "archive string, bytes long, n_records long").write.parquet(f"{folder}/manifest")
+    typed.mapInArrow(_writer(f"{folder}/archives", archive_bytes), "archive string, bytes long, n_records long, starts array<long>").write.parquet(f"{folder}/manifest")
 
 
 def _fields(head: bytes) -> dict[str, str]:
@@ -119,7 +122,7 @@ class _Range:
     """Bytes of a file from some place on, read as needed."""
 
     def __init__(self, file, size: int, at: int):
-        self.file, self.size, self.base, self.held = file, size, at, b""
+        self.file, self.size, self.base, self.held = file, size, at, bytearray()
 
     def need(self, upto: int) -> bool:
         """Have the bytes up to ``upto`` at hand, as far as the file goes; True if it reaches so far."""
@@ -133,7 +136,8 @@ class _Range:
 
     def drop(self, before: int) -> None:
         if before - self.base > READ_BYTES:
-            self.held, self.base = self.held[before - self.base:], before
+            del self.held[:before - self.base]
+            self.base = before
 
     def find(self, what: bytes, at: int, end: int) -> int:
         """First place of ``what`` that starts at ``at`` or later and before ``end``; -1 if there is none."""
@@ -192,6 +196,12 @@ def _row(value: str | None) -> int | None:
     return int(text) if re.fullmatch(r"-?\d+", text) else None
 
 
+def _length(found: dict) -> int:
+    """Bytes of the payload; a revisit states those of the payload it stands for."""
+    stated = found["http"].get("content-length", "")
+    return int(stated) if found["fields"]["warc-type"] == "revisit" and stated.isdigit() else len(found["payload"])
+
+
 def _reader(folder: str, with_payload: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = pyarrow.fs.FileSystem.from_uri(folder)
@@ -204,13 +214,15 @@ def _reader(folder: str, with_payload: bool):
                     kinds = {"payload": pa.binary(), "page_id": pa.int64(), "payload_bytes": pa.int64(), "refers_to": pa.int64(), "offset": pa.int64()}
                     return pa.RecordBatch.from_arrays([pa.array(rows[n], kinds.get(n, pa.string())) for n in names], names=names)
 
+                seen = 0
                 with fs.open_input_file(f"{base}/{job['archive']}") as file:
                     for found in records_in(file, job["bytes"], job["begin"], job["end"]):
-                        fields, payload = found["fields"], found["payload"]
-                        digest = fields["warc-payload-digest"].removeprefix("sha1:")
-                        if fields["warc-type"] == "response" and base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
+                        fields, payload, seen = found["fields"], found["payload"], seen + 1
+                        digest = fields.get("warc-payload-digest", "")
+                        stated, digest = digest.startswith("sha1:"), digest.removeprefix("sha1:") or None
+                        if stated and fields["warc-type"] == "response" and "http" in fields.get("content-type", "") and base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
                             raise ValueError(f"{job['archive']} at {found['offset']}: the payload differs from its digest")
-                        values = (_row(fields["warc-record-id"]), fields.get("warc-target-uri"), fields["warc-type"], int(found["http"].get("content-length", 0)), digest,
+                        values = (_row(fields.get("warc-record-id")), fields.get("warc-target-uri"), fields["warc-type"], _length(found), digest,
                                   _row(fields.get("warc-refers-to")), payload if with_payload else None, job["archive"], found["offset"])
                         for n, v in zip(names, values, strict=True):
                             rows[n].append(v)
@@ -218,19 +230,39 @@ def _reader(folder: str, with_payload: bool):
                         if held > 8 << 20:
                             yield made()
                             rows, held = {n: [] for n in names}, 0
+                if job["expected"] is not None and seen != job["expected"]:
+                    raise ValueError(f"{job['archive']} from {job['begin']} to {job['end']}: {seen} records, the manifest says {job['expected']}")
                 yield made()
     return run
 
 
-def read_warc(spark: SparkSession, folder: str, range_bytes: int = RANGE_BYTES, with_payload: bool = True) -> DataFrame:
-    """One row per record of the listed archives; a revisit has the length and digest of the payload it stands for, and no payload."""
-    manifest = spark.read.parquet(f"{folder}/manifest").select("archive", "bytes")
+def list_archives(spark: SparkSession, folder: str) -> DataFrame:
+    """Archives below ``folder``/archives that no manifest lists: archive, bytes. For archives of other writers."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{folder}/archives").select("path", F.col("length").alias("bytes"))
+    return found.select(F.substring_index("path", "/archives/", -1).alias("archive"), "bytes")
+
+
+def read_warc(spark: SparkSession, folder: str, range_bytes: int = RANGE_BYTES, with_payload: bool = True, archives: DataFrame | None = None) -> DataFrame:
+    """One row per record of the listed archives; a revisit has the length and digest of the payload it stands for, and no payload.
+
+    A range that holds fewer or more records than the manifest says is an error, so a damaged member is never passed over. ``archives``
+    (archive, bytes; see ``list_archives``) takes the manifest's place: of archives of other writers, members that are no records are passed over,
+    payload_digest is null where a record has none, and only SHA-1 digests of HTTP responses are compared. Records longer than a range belong to the task
+    in whose range they start, which holds one record at a time. An empty manifest gives no rows.
+    """
+    if archives is None:
+        listed = spark.read.parquet(f"{folder}/manifest").select("archive", "bytes", "starts")
+    else:
+        listed = archives.select("archive", "bytes", F.lit(None).cast("array<long>").alias("starts"))
     begins = F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(range_bytes).cast("long"))
-    ranges = (manifest.where("bytes > 0").select("archive", "bytes", F.explode(begins).alias("begin"))
-              .withColumn("end", F.least(F.col("begin") + range_bytes, F.col("bytes"))))
-    # One range is one unit of work: spread them over the tasks.
-    spread = ranges.repartition(F.xxhash64("archive", "begin"))
+    inside = F.size(F.filter("starts", lambda s: (s >= F.col("begin")) & (s < F.col("end"))))
+    ranges = (listed.where("bytes > 0").select("archive", "bytes", "starts", F.explode(begins).alias("begin"))
+              .withColumn("end", F.least(F.col("begin") + range_bytes, F.col("bytes")))
+              .select("archive", "bytes", "begin", "end", F.when(F.col("starts").isNotNull(), inside).alias("expected")))
+    # One range is one unit of work. A stated number of partitions, so that the few small rows are not put together into one task.
+    n = listed.agg(F.sum(F.ceil(F.col("bytes") / range_bytes))).first()[0] or 0
+    spread = ranges.repartition(int(max(1, min(n, MOST_TASKS))))
     return spread.mapInArrow(_reader(f"{folder}/archives", with_payload), _READ_SQL)
 
 
-__all__ = ["inflate", "member", "parse", "read_warc", "record", "records_in", "write_warc"]
+__all__ = ["inflate", "list_archives", "member", "parse", "read_warc", "record", "records_in", "write_warc"]

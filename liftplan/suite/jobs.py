@@ -87,6 +87,16 @@ def _with_plan(t) -> Catalog:
     return t.domain.bind("plan_period", stage(_plans(t, 2022).unionByName(_plans(t, 2023)), "plan-period"))
 
 
+def _written(t, job, *names):
+    """The job's outputs through ``write_outputs``, read back from where they were stored."""
+    catalog = Catalog({n: TableSpec("parquet", scratch_path(t.spark, f"out-{n}")) for n in names})
+    rows = write_outputs(t.spark, job, {n: catalog.spec(n) for n in names})
+    made = {n: read_table(t.spark, catalog, n) for n in names}
+    if rows != {n: df.count() for n, df in made.items()}:
+        raise ValueError(f"rows counted while writing {rows} are not those stored")
+    return made
+
+
 _SUMMARY_TEXT = """agreemt_period, company_code, contract_description, contract_end_period, contract_no, contract_item, purchase_order_type, contract_start_period,
  depot_property, fed_contract, grade, kam, last_modefied_date, material_number, mot, national_account_name, plant_code, price_basis, pricing_period,
  pricing_scheme, sales_doc_type, ship_to_number, si, sold_to_number, term_plan_period, uom, shipping_condition_tbu, plant_name, sold_to_name, ship_to_name,
@@ -108,7 +118,7 @@ SELECT DISTINCT 'deals_without_contract' AS output, {_SUMMARY_TEXT}, {_DATES_SQL
   subgrade, {_round('volume_cbm')} FROM fulfilment WHERE contract_no IS NULL"""))
 def job_contract_summary(t):
     """Both outputs, told apart by ``output``."""
-    made = contract_summary.run(t.spark, _with_plan(t), AS_OF, SUMMARY)
+    made = _written(t, lambda: contract_summary.run(t.spark, _with_plan(t), AS_OF, SUMMARY), "contract_summary", "deals_without_contract")
     whole = made["contract_summary"].withColumns(
         {c: F.col(c).cast("double") for c in ("avg_plan_m3", "fullcalc_phil", "tolerance_m15", "laufzeit")})
     both = whole.withColumn("output", F.lit("contract_summary")).unionByName(
@@ -188,7 +198,7 @@ FROM (SELECT invoice_type, billing_date, ltrim(delivery_number, '0') AS delivery
 JOIN invoice_type_mapping ON gsap_code = invoice_type""").replace("\n, shared", "\n, shared", 1))
 def job_delivery_mapping(t):
     """Both outputs, told apart by ``output``."""
-    made = delivery_mapping.run(t.spark, _with_plan(t), AS_OF, replace(MAPPING, excluded_materials=("17",)))
+    made = _written(t, lambda: delivery_mapping.run(t.spark, _with_plan(t), AS_OF, replace(MAPPING, excluded_materials=("17",))), "delivery_mapping", "invoice_delivery")
     rows = made["delivery_mapping"].drop("ca_last_mdf", "created_date_time").distinct()
     both = rows.withColumn("output", F.lit("delivery_mapping")).unionByName(
         made["invoice_delivery"].withColumn("output", F.lit("invoice_delivery")), allowMissingColumns=True)

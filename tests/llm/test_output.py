@@ -10,9 +10,10 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from liftplan.llm import mixing, sharding, token_file, warc
+from liftplan.llm import mixing, ngram_join, sharding, token_file, warc
 from liftplan.session import scratch_path
 from tests.llm.brute import SPACED, document_rows, documents
 
@@ -179,6 +180,28 @@ def test_favoured_documents_come_first(spark):
     assert sum(r["doc_id"] % 2 == 0 for r in taken) > 0.8 * len(taken)
 
 
+def test_inclusion_follows_the_size(spark):
+    """Over many documents the share that is taken once more is each size's probability; larger documents than that are certain."""
+    sizes = [1, 4, 10, 25, 60]
+    rows = [(i, "w " * sizes[i % 5], "en", "x", 5) for i in range(4000)] + [(9000 + i, "w " * (5000 - i), "en", "x", 5) for i in range(2)]
+    rows += [(5000 + i, "w " * 90, "en", "y", 5) for i in range(2000)] + [(8000, None, "en", "x", 0)]
+    taken, chance = {}, {}
+    for seed in range(3):
+        mixed = mixing._mixed(documents(spark, rows), "doc_id", "text", "source", None, (1, 1), 3, seed, 64).where("source = 'x'").collect()
+        assert abs(sum(r["size"] * r["copies"] for r in mixed) - mixed[0]["target"]) <= 30
+        for r in mixed:
+            chance[r["size"]] = r["chance"]
+            taken.setdefault(r["size"], []).append(r["more"])
+    part = mixed[0]["part"]
+    assert 0 < part < 1 and chance[0] == 0 and not any(taken[0]) and chance[5000] == chance[4999] == 1 and all(taken[5000] + taken[4999])
+    assert [round(chance[k] / chance[1]) for k in sizes] == sizes and chance[60] < 1
+    for k in sizes:
+        n, p = len(taken[k]), chance[k]
+        assert abs(sum(taken[k]) - n * p) <= 4.5 * (n * p * (1 - p)) ** 0.5 + 2
+    expected = sum(chance[k] * k * 800 for k in sizes) + 9_999
+    assert abs(expected - (mixed[0]["target"] - mixed[0]["whole"] * mixed[0]["source_size"])) < 1e-3 * expected
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None, "en", None, 0)], [(1, "", "en", "a", 0), (2, "x y", "en", "b", 0)]])
 def test_mix_of_little(spark, rows):
     got = mixing.mix_sources(documents(spark, rows)).collect()
@@ -218,6 +241,63 @@ def test_warc_of_no_pages(spark):
     assert warc.read_warc(spark, folder).count() == 0
 
 
+def test_ranges_are_read_by_many_tasks(spark):
+    folder = scratch_path(spark, "test-warc")
+    pages = [(i, f"http://{i}", f"<p>{i}</p>" * 200) for i in range(400)]
+    warc.write_warc(page_table(spark, pages).repartition(3), folder)
+    made = warc.read_warc(spark, folder, range_bytes=2000)
+    used = made.groupBy(F.spark_partition_id()).count().collect()
+    assert made.count() == 400 and len(used) > 8 and max(r["count"] for r in used) < 100
+
+
+def test_damaged_member_is_an_error(spark, tmp_path):
+    folder = f"file://{tmp_path}/warc"
+    warc.write_warc(page_table(spark, [(i, "u", f"text {i}") for i in range(30)]).coalesce(1), folder)
+    (archive,) = (tmp_path / "warc" / "archives").glob("*.warc.gz")
+    data = bytearray(archive.read_bytes())
+    second = bytes(data).find(warc.MAGIC, 10)
+    data[second + 12:second + 60] = b"x" * 48
+    archive.write_bytes(bytes(data))
+    with pytest.raises(Exception, match="the manifest says"):
+        warc.read_warc(spark, folder, 500).collect()
+
+
+def test_archives_of_other_writers(spark, tmp_path):
+    """No manifest, records without digest, records that are no responses, and members that are no records."""
+    (tmp_path / "archives" / "deep").mkdir(parents=True)
+    head = lambda kind, block, *more: "\r\n".join(["WARC/1.0", f"WARC-Type: {kind}", *more, f"Content-Length: {len(block)}"]).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+    http = b"HTTP/1.1 200 OK\r\nContent-Length: 999\r\n\r\nhello"
+    digest = base64.b32encode(hashlib.sha1(b"hello").digest()).decode()
+    kind = "Content-Type: application/http; msgtype=response"
+    members = [head("warcinfo", b"software: x"), head("request", b"GET / HTTP/1.1\r\n\r\n", "WARC-Target-URI: http://a"), head("response", http, "WARC-Target-URI: http://a", kind),
+               b"no record", head("response", http, f"WARC-Payload-Digest: sha1:{digest}", kind), head("metadata", b"long " * 300_000)]
+    data = b"".join(map(warc.member, members))
+    (tmp_path / "archives" / "a.warc.gz").write_bytes(data)
+    (tmp_path / "archives" / "deep" / "b.warc.gz").write_bytes(warc.member(members[2]))
+    folder = f"file://{tmp_path}"
+    got = warc.read_warc(spark, folder, 100, archives=warc.list_archives(spark, folder)).collect()
+    seen = Counter((r["archive"], r["record_type"], r["url"], r["payload_digest"], bytes(r["payload"])[:5], r["payload_bytes"]) for r in got)
+    assert seen == Counter({("a.warc.gz", "warcinfo", None, None, b"", 0): 1, ("a.warc.gz", "request", "http://a", None, b"", 0): 1,
+                            ("a.warc.gz", "response", "http://a", None, b"hello", 5): 1, ("a.warc.gz", "response", None, digest, b"hello", 5): 1,
+                            ("a.warc.gz", "metadata", None, None, b"", 0): 1, ("deep/b.warc.gz", "response", "http://a", None, b"hello", 5): 1})
+    (tmp_path / "archives" / "a.warc.gz").write_bytes(warc.member(head("response", http, f"WARC-Payload-Digest: sha1:{digest[::-1]}", kind)))
+    with pytest.raises(Exception, match="differs from its digest"):
+        warc.read_warc(spark, folder, 100, archives=warc.list_archives(spark, folder)).collect()
+
+
+def test_clashing_names_stay_as_they_are(spark):
+    """Columns called as the operators' own helpers come back unchanged."""
+    names = ["__own", "__slot", "__shard", "__source", "__whole", "__part", "__last", "__copy", "__class", "__group", "__least", "__alone", "__place"]
+    rows = [(i, f"word{i} a b c d e f g h", "en", "x" if i % 2 else "y", 5) for i in range(40)] + [(50, "word1 a b c d e f g h", "en", "x", 5)]
+    docs = documents(spark, rows)
+    for name in names:
+        docs = docs.withColumn(name, F.col("doc_id") * 10)
+    for made in (mixing.take_mix(docs), sharding.with_shards(docs, scratch_path(spark, "test-map"), 3), ngram_join.keep_one(docs)):
+        got = made.collect()
+        assert got and all(r[n] == r["doc_id"] * 10 for r in got for n in names) and [c for c in made.columns if c in names] == names
+    assert ngram_join.keep_one(docs).count() == 40
+
+
 def test_false_magic_is_passed_over():
     class File(io.BytesIO):
         def read_at(self, n, at):

@@ -1,11 +1,16 @@
 """Properties of the jobs on the derived tables and on literal rows."""
 
+import subprocess
+import sys
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from liftplan.plans import contract_raw, contract_summary, history, movements, plan
+from liftplan.operators.joins import asked_for, lookup
+from liftplan.plans import contract_raw, contract_summary, delivery_mapping, history, movements, plan, prototypes
+from liftplan.session import TASK_BYTES, TASK_SIZE, stage, staging, tune
 from liftplan.sources import Catalog, TableSpec, read_table, replace
 from liftplan.suite import jobs
 from liftplan.suite.registry import AS_OF, Inputs
@@ -102,3 +107,103 @@ def test_movement_days_reach_the_scan(spark, inputs, tmp_path):
     plan = made._jdf.queryExecution().executedPlan().toString()
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "GreaterThanOrEqual(zxbldat,20220901)" in plan and "LessThanOrEqual(zxbldat,20221031)" in plan
+
+
+# ---- bounded tasks and disk ----
+
+
+def test_prototype_files_grow_with_the_table(spark, tmp_path):
+    """No task gets a fixed share of the table: twice the rows of a shuffle make twice the files."""
+    def files(n):
+        spec = TableSpec("parquet", str(tmp_path / str(n)))
+        rows = spark.range(n).select(F.sha2(F.col("id").cast("string"), 512).alias("t")).distinct()
+        assert prototypes.store_in_files(rows, spec).count() == n
+        return len(list((tmp_path / str(n)).glob("*.parquet")))
+
+    size, least = (spark.conf.get(k) for k in (TASK_SIZE, "spark.sql.adaptive.coalescePartitions.minPartitionSize"))
+    spark.conf.set(TASK_SIZE, "256k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
+    try:
+        small, large = files(4000), files(30_000)
+    finally:
+        spark.conf.set(TASK_SIZE, size)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", least)
+    assert small <= 3 < large
+
+
+def test_task_size_is_bounded(spark):
+    """Sixteen megabytes of a shuffle for a task; a smaller size of the session's own stays."""
+    before = spark.conf.get(TASK_SIZE)
+    try:
+        for given, want in (("64MB", str(TASK_BYTES)), ("8m", "8m")):
+            spark.conf.set(TASK_SIZE, given)
+            assert tune(spark).conf.get(TASK_SIZE) == want
+    finally:
+        spark.conf.set(TASK_SIZE, before)
+
+
+def test_staged_rows_leave_no_shuffle_files(tmp_path):
+    """The shuffles of a staged frame go when it is written; the setting does not outlast the write."""
+    code = """
+import sys, pathlib
+from pyspark.sql import functions as F
+from liftplan.session import SHUFFLE_CLEANUP, build_session, stage
+base = sys.argv[1]
+spark = build_session("t", "local[2]", spark__ui__enabled="false", spark__local__dir=base + "/local", spark__checkpoint__dir=base + "/kept", spark__driver__host="127.0.0.1")
+rows = stage(spark.range(1000).groupBy(F.col("id") % 7).count(), "rows")
+print("left", len([*pathlib.Path(base, "local").rglob("shuffle_*.data")]), rows.count(), spark.conf.get(SHUFFLE_CLEANUP, None))
+"""
+    done = subprocess.run([sys.executable, "-c", code, str(tmp_path)], capture_output=True, text=True, timeout=120, cwd=Path(__file__).parents[1])
+    assert "left 0 7 None" in done.stdout, done.stderr[-500:]
+
+
+def test_terminal_shuffles_whole_rows_once(spark):
+    """Both sides are staged; behind them comes one join on the contract, and a distinct that needs no shuffle of its own."""
+    inputs = Inputs(spark, FOLDER)
+    catalog = jobs._plain_units(inputs)
+    for name in ("contract_commercial", "price_condition"):
+        catalog.bind(name, catalog.frame(f"{name}_head"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = prototypes.run_terminal(spark, catalog)["contract_movements"]
+        assert made._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_load_ids_of_asked_items_only(spark):
+    """The newest entry of an asked item is the same; entries of other items, of no item and null ids do not come back."""
+    rows = [("007", "A", "000012000001", "2"), ("008", "B", "000012000001", "3"), ("009", "C", "000013000001", "1"), ("010", "D", None, "1"),
+            ("011", "E", "000012000002", "1"), ("011", "E", "000012000002", "1")]
+    registry = spark.createDataFrame(rows, "lidno string, lid3cod1 string, lidaddon string, ca_timestamp string")
+    items = spark.createDataFrame([("12", "1"), ("12", "1"), ("12", "2"), (None, "1"), ("99", "1")], "contract_no string, item_number string")
+    whole = {tuple(r) for r in delivery_mapping.latest_load_ids(registry, (6, 6)).collect()}
+    asked = [tuple(r) for r in delivery_mapping.latest_load_ids(registry, (6, 6), items).collect()]
+    assert sorted(asked) == [("11", "E", "12", "2"), ("8", "B", "12", "1")] and set(asked) < whole
+
+
+def test_asked_for_needs_no_second_shuffle(spark):
+    """Distinct and lookup behind it use the shuffle it made; duplicates and null keys are as in the lookup of the whole dimension."""
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (3, "d")], "k int, v string")
+    dim = spark.createDataFrame([(1, 10), (1, 10), (1, 11), (2, 20), (None, 30)], "k2 int, w int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with staging(spark):
+            df, dim = stage(df, "asking"), stage(dim, "asked")
+            cut = asked_for(dim, df, {"k": "k2"}).distinct()
+            assert sorted(map(tuple, cut.collect())) == [(1, 10), (1, 11)]
+            made = lookup(df, cut, {"k": "k2"}, {"w": "w"})
+            assert made._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 3  # rows, their keys, the dimension
+            want = lookup(df, dim.distinct(), {"k": "k2"}, {"w": "w"})
+            assert Counter(made.collect()) == Counter(want.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_legacy_rows_are_narrow_until_billing(spark):
+    """Behind the staged item rows, prices and order types are cut to the items' contracts; billing comes last."""
+    inputs = Inputs(spark, FOLDER)
+    stored = movements.run(spark, inputs.domain, AS_OF, jobs.MOVEMENT)["movements"]
+    catalog = inputs.domain.bind("stored_movements", stored)
+    plan_text = prototypes.run_legacy(spark, catalog, AS_OF)["contract_movements"]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan_text.count("LeftSemi") >= 2 and "kdauf" not in plan_text

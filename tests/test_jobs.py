@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from liftplan.operators.joins import asked_for, lookup
 from liftplan.plans import contract_raw, contract_summary, delivery_mapping, history, movements, plan, prototypes
-from liftplan.session import TASK_BYTES, TASK_SIZE, stage, staging, tune
+from liftplan.session import TASK_SIZE, TASK_SIZES, stage, staging, tune
 from liftplan.sources import Catalog, TableSpec, read_table, replace
 from liftplan.suite import jobs
 from liftplan.suite.registry import AS_OF, Inputs
@@ -132,14 +132,15 @@ def test_prototype_files_grow_with_the_table(spark, tmp_path):
 
 
 def test_task_size_is_bounded(spark):
-    """Sixteen megabytes of a shuffle for a task; a smaller size of the session's own stays."""
-    before = spark.conf.get(TASK_SIZE)
-    try:
-        for given, want in (("64MB", str(TASK_BYTES)), ("8m", "8m")):
-            spark.conf.set(TASK_SIZE, given)
-            assert tune(spark).conf.get(TASK_SIZE) == want
-    finally:
-        spark.conf.set(TASK_SIZE, before)
+    """Sixteen megabytes of a shuffle or 32 of a file for a task; a smaller size of the session's own stays."""
+    for key, most in TASK_SIZES.items():
+        before = spark.conf.get(key)
+        try:
+            for given, want in (("64MB", str(most)), ("8m", "8m")):
+                spark.conf.set(key, given)
+                assert tune(spark).conf.get(key) == want
+        finally:
+            spark.conf.set(key, before)
 
 
 def test_staged_rows_leave_no_shuffle_files(tmp_path):
@@ -198,12 +199,3 @@ def test_asked_for_needs_no_second_shuffle(spark):
             assert Counter(made.collect()) == Counter(want.collect())
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_legacy_rows_are_narrow_until_billing(spark):
-    """Behind the staged item rows, prices and order types are cut to the items' contracts; billing comes last."""
-    inputs = Inputs(spark, FOLDER)
-    stored = movements.run(spark, inputs.domain, AS_OF, jobs.MOVEMENT)["movements"]
-    catalog = inputs.domain.bind("stored_movements", stored)
-    plan_text = prototypes.run_legacy(spark, catalog, AS_OF)["contract_movements"]._jdf.queryExecution().optimizedPlan().toString()
-    assert plan_text.count("LeftSemi") >= 2 and "kdauf" not in plan_text

@@ -8,7 +8,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from liftplan.operators.joins import asked_for, lookup
+from liftplan.operators.joins import asked_for, lookup, rejoin
 from liftplan.plans import contract_raw, contract_summary, delivery_mapping, history, movements, plan, prototypes
 from liftplan.session import TASK_SIZE, TASK_SIZES, stage, staging, tune
 from liftplan.sources import Catalog, TableSpec, read_table, replace
@@ -199,3 +199,50 @@ def test_asked_for_needs_no_second_shuffle(spark):
             assert Counter(made.collect()) == Counter(want.collect())
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_staged_contract_rows_join_what_is_asked_for(spark, inputs):
+    """Rows as in one plan; whole rows are shuffled by a few joins and the distinct only."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with staging(spark):
+            for run, name, most in ((contract_raw.run_summed, "contract_rows", 5), (contract_raw.run_mapped, "mapped_rows", 13)):
+                made = run(spark, inputs.domain, AS_OF, jobs.CONTRACT, staged=True)[name]
+                want = run(spark, inputs.domain, AS_OF, jobs.CONTRACT)[name]
+                assert made.columns == want.columns
+                assert Counter(made.collect()) == Counter(want.collect()) != Counter()
+
+                def wide(df):
+                    plan = df._jdf.queryExecution().executedPlan()
+                    lines, found = plan.toString().splitlines(), 0
+                    for i, line in enumerate(lines):
+                        found += "Exchange hashpartitioning" in line and any("ktext" in x for x in lines[i + 1:i + 3])
+                    return found
+                assert wide(made) <= most < wide(want)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_asked_movements(spark):
+    """Of documents and items that are asked for, with amounts; nulls ask for nothing."""
+    moves = [("M1", "0001", "S1", "1", "1"), ("M1", "0002", "S1", "2", "2"), ("M2", "0001", "S2", "1", "1"), (None, "0001", "S2", "1", None)]
+    empty = {c: None for c in movements.MOVEMENT_COLUMNS} | {"bukrs": "DE01", "bwart": "601", "zxbldat": "20220915", "ebeln": "E"}
+    rows = [empty | dict(zip(("mblnr", "zeile", "kdauf", "kdpos", "oiposnr"), m)) for m in moves]
+    schema = ", ".join(f"{c} string" for c in movements.MOVEMENT_COLUMNS)
+    amounts = [(m, f" {z}", u, q, "DE01") for m, z, *_ in moves if m for u, q in (("KG", 1000.0), ("L15", 2000.0))]
+    catalog = (Catalog().bind("movement", spark.createDataFrame([*rows, rows[0]], schema))
+               .bind("movement_quantity", spark.createDataFrame(amounts, "mblnr string, zeile string, msehi string, adqnt double, bukrs string"))
+               .bind("purchase_header", spark.createDataFrame([("20220901", "E", "FOB", "x")], "aedat string, ebeln string, inco1 string, inco2 string")))
+    asked = spark.createDataFrame([("M1", "2", "S1"), ("M1", "2", "S1"), (None, None, None), ("M9", "1", "S9")], "mblnr string, posnr string, mseg_so string")
+    got = movements.run(spark, catalog, "2022-10-15", asked=asked)["movements"]
+    assert [(r.mblnr, r.oiposnr, r.aedat, abs(r.lifting_in_to)) for r in got.collect()] == [("M1", "2", "20220901", 1.0)]
+    whole = movements.run(spark, catalog, "2022-10-15")["movements"]
+    assert whole.count() == 4 and Counter(got.collect()) <= Counter(whole.collect())
+    assert [tuple(r) for r in movements.order_documents(spark, catalog, "2022-10-15", asked=asked).collect()] == [("S1", "2", "M1")]
+
+
+def test_rejoin_matches_nulls(spark):
+    df = spark.createDataFrame([(1, None, "a"), (1, None, "b"), (None, 2, "c"), (1, 2, "d")], "k int, m int, v string")
+    narrow = spark.createDataFrame([(1, None, 10), (None, 2, 20), (1, 2, None), (1, 2, 30), (7, 7, 70)], "k int, m int, w int")
+    assert sorted(map(str, rejoin(df, narrow, ["k", "m"]).collect())) == sorted(map(str, spark.createDataFrame(
+        [(1, None, "a", 10), (1, None, "b", 10), (None, 2, "c", 20), (1, 2, "d", None), (1, 2, "d", 30)], "k int, m int, v string, w int").collect()))

@@ -54,8 +54,9 @@ class PieceEncoder:
     """Ids (16 bits each) of texts with a byte-level BPE of at most 65,536 ids; pieces met before are looked up.
 
     The vocabulary's pre-tokeniser ends a token in front of a single blank between two characters that are no white space, on
-    both sides of such a line feed, and between an ASCII letter and a full stop or comma. A text is cut there, each piece
-    is encoded alone, and what it gives is kept until ``cache_bytes`` are full. White space of any other kind stays inside a piece.
+    both sides of such a line feed, and between an ASCII letter and a full stop or comma. The texts of a call are cut there, each
+    distinct piece is looked up once, or encoded alone, and what it gives is kept until ``cache_bytes`` are full. White space of
+    any other kind stays inside a piece.
     With ``special_as_text`` the vocabulary's special tokens are spelled out like any other text; without it they keep their own ids, as
     the tokenizer does when it is loaded, and a text that holds one is encoded whole.
     """
@@ -74,68 +75,51 @@ class PieceEncoder:
         self.id_bytes = np.zeros(1 << 16, np.int64)
         for token, number in vocabulary.items():
             self.id_bytes[number] = len(token)
-        #: Ids of pieces that begin with a blank, by the piece without it; and of all others.
-        self.after_blank: dict[bytes, bytes] = {}
-        self.other: dict[bytes, bytes] = {}
+        #: Ids of pieces.
+        self.known: dict[bytes, bytes] = {}
         self.held = 0
 
     def _each(self, pieces: list[bytes]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast([p.decode("utf-8") for p in pieces], add_special_tokens=False)
         return [np.array(x.ids, "<u2").tobytes() for x in got]
 
-    def _ask(self, words: list[bytes]) -> list[bytes]:
-        """Ids of pieces " word", many in one string: a blank always begins a token, so the bytes of the ids tell the pieces apart."""
+    def _ask(self, pieces: list[bytes], glue: bytes) -> list[bytes]:
+        """Ids of pieces, many in one string: the pre-tokeniser cuts between them, so the bytes of the ids tell them apart.
+
+        Pieces begin with a blank and are not glued, or begin without one and are glued by a line feed.
+        """
         out: list[bytes] = []
-        groups = [words[i:i + 64] for i in range(0, len(words), 64)]
-        for i in range(0, len(groups), 256):
-            part = groups[i:i + 256]
-            texts = [b" " + b" ".join(g) for g in part]
-            for group, got in zip(part, self.tokenizer.encode_batch_fast([t.decode("utf-8") for t in texts], add_special_tokens=False), strict=True):
+        groups = [pieces[i:i + 256] for i in range(0, len(pieces), 256)]
+        for i in range(0, len(groups), 64):
+            part = groups[i:i + 64]
+            for group, got in zip(part, self.tokenizer.encode_batch_fast([glue.join(g).decode("utf-8") for g in part], add_special_tokens=False), strict=True):
                 ids = np.array(got.ids, "<u2")
-                reached = np.cumsum(self.id_bytes[ids])
-                wanted = np.cumsum([len(w) + 1 for w in group])
-                at = np.searchsorted(reached, wanted)
-                if not (reached[-1] == wanted[-1] and (reached[at] == wanted).all()):
-                    out += self._each([b" " + w for w in group])
+                reached = np.concatenate([[0], np.cumsum(self.id_bytes[ids])])
+                ends = np.cumsum([len(p) + len(glue) for p in group]) - len(glue)
+                begins = np.concatenate([[0], ends[:-1] + len(glue)])
+                first, last = np.searchsorted(reached, begins), np.searchsorted(reached, ends)
+                if not (reached[-1] == ends[-1] and (reached[first] == begins).all() and (reached[last] == ends).all()):
+                    out += self._each(group)
                     continue
-                raw, ends = ids.tobytes(), [0, *(2 * at + 2).tolist()]
-                out += [raw[a:b] for a, b in zip(ends, ends[1:])]
-        return out
-
-    @staticmethod
-    def _parts(piece: bytes) -> list[bytes]:
-        """A piece cut at its line feeds and before a last full stop or comma."""
-        lines = piece.split(b"\n") if b"\n" in piece else [piece]
-        if not all(map(_ends_solid, lines)):
-            return [piece]
-        out = []
-        for i, line in enumerate(lines):
-            if i:
-                out.append(b"\n")
-            if line[-1] in b".," and line[-2:-1].isalpha():
-                out += [line[:-1], line[-1:]]
-            else:
-                out.append(line)
+                raw = ids.tobytes()
+                out += [raw[a:b] for a, b in zip((2 * first).tolist(), (2 * last).tolist(), strict=True)]
         return out
 
-    def _learn(self, pieces: dict[bytes, list[bytes]]) -> dict[bytes, bytes]:
-        """Ids of pieces that are not known, given with their parts."""
-        parts = {p for ps in pieces.values() for p in ps}
-        blank = {p[1:]: None for p in parts if p[:1] == b" " and _ends_solid(p)}
-        words = [w for w in blank if w not in self.after_blank]
-        rest = [p for p in parts if p not in self.other and not (p[:1] == b" " and p[1:] in blank)]
-        got_words, got_rest = dict(zip(words, self._ask(words), strict=True)), dict(zip(rest, self._each(rest), strict=True))
+    def _look_up(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of distinct pieces."""
+        got = list(map(self.known.get, pieces))
+        missing = [p for p, g in zip(pieces, got, strict=True) if g is None]
+        if not missing:
+            return got
+        after_blank, plain, rest = [], [], []
+        for p in missing:
+            (rest if not _ends_solid(p) else after_blank if p[0] == 0x20 else plain).append(p)
+        fresh = dict(zip(after_blank + plain + rest, self._ask(after_blank, b"") + self._ask(plain, b"\n") + self._each(rest), strict=True))
         if self.held < self.cache_bytes:
-            self.after_blank.update(got_words)
-            self.other.update((p, x) for p, x in got_rest.items() if len(p) < 40)
-            self.held += sum(len(w) + len(x) + 190 for d in (got_words, got_rest) for w, x in d.items())
-
-        def ids(part: bytes) -> bytes:
-            if part[:1] == b" " and part[1:] in blank:
-                return got_words[part[1:]] if part[1:] in got_words else self.after_blank[part[1:]]
-            return got_rest[part] if part in got_rest else self.other[part]
-
-        return {piece: ids(ps[0]) if len(ps) == 1 else b"".join(map(ids, ps)) for piece, ps in pieces.items()}
+            kept = {p: x for p, x in fresh.items() if len(p) < 40}
+            self.known.update(kept)
+            self.held += sum(len(p) + len(x) + 190 for p, x in kept.items())
+        return [fresh[p] if g is None else g for p, g in zip(pieces, got, strict=True)]
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of each text."""
@@ -147,36 +131,18 @@ class PieceEncoder:
         return [np.frombuffer(whole[i], "<u2").astype(np.uint32) if i in whole else next(cut) for i in range(len(texts))]
 
     def _encode_cut(self, texts: list[bytes]) -> list[np.ndarray]:
-        split, missing, whole_pieces = [], set(), set()
-        known = self.after_blank.get
-        for text in texts:
-            if all_cut(np.frombuffer(text, np.uint8)):
-                words = text.split(b" ")
-                first = words.pop(0)
-                got = list(map(known, words))
-                if None in got:
-                    missing.update([w for w, g in zip(words, got) if g is None])
-                whole = [first]
-            else:
-                got = []
-                first, *words = text.split(b" ")
-                whole, words = _joined([first, *(b" " + w for w in words)]), []
-            whole_pieces.update(whole)
-            split.append((whole, words, got))
-        whole_pieces.discard(b"")
-        made = self._learn({p: self._parts(p) for w in missing for p in (b" " + w,)} | {p: self._parts(p) for p in whole_pieces})
-        made[b""] = b""
-        fresh = {w: made[b" " + w] for w in missing}
-        if self.held < self.cache_bytes:
-            kept = {w: x for w, x in fresh.items() if b"\n" not in w and w not in self.after_blank}
-            self.after_blank.update(kept)
-            self.held += sum(len(w) + len(x) + 190 for w, x in kept.items())
-        out = []
-        for whole, words, got in split:
-            if None in got:
-                got = [fresh[w] if g is None else g for w, g in zip(words, got)]
-            out.append(np.frombuffer(b"".join([*map(made.__getitem__, whole), *got]), "<u2").astype(np.uint32))
-        return out
+        raw = b"".join(texts)
+        if not raw:
+            return [np.zeros(0, np.uint32) for _ in texts]
+        bounds = np.cumsum([0, *map(len, texts)])
+        cuts = piece_cuts(np.frombuffer(raw, np.uint8), bounds)
+        pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(raw)]).dictionary_encode()
+        ids = pa.array(self._look_up(pieces.dictionary.to_pylist()), pa.large_binary()).take(pieces.indices)
+        # The ids of all pieces stand end to end in the array's data.
+        reached = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset:ids.offset + len(cuts)] // 2
+        flat = np.frombuffer(ids.buffers()[2], "<u2", reached[-1]).astype(np.uint32)
+        at = reached[np.searchsorted(cuts, bounds)].tolist()
+        return [flat[a:b] for a, b in zip(at, at[1:])]
 
 
 #: Bytes that belong to no white space: printable ASCII, and the bytes of two-byte letters (a piece may begin with lead bytes C3-DF).
@@ -184,44 +150,33 @@ _SOLID_BYTES = np.zeros(256, bool)
 _SOLID_BYTES[0x21:0x7F] = True
 _SOLID_BYTES[0xC3:0xE0] = True
 _SOLID = _SOLID_BYTES.tolist()
-
-
-def all_cut(data: np.ndarray) -> bool:
-    """Every blank of the text is one in front of which the text may be cut."""
-    blank = np.flatnonzero(data == 0x20)
-    if not len(blank):
-        return True
-    if blank[0] == 0 or blank[-1] == len(data) - 1:
-        return False
-    before, lead = data[blank - 1], data[np.maximum(blank - 2, 0)]
-    ends = np.where(before < 0x80, _SOLID_BYTES[before], (before < 0xC0) & (lead >= 0xC3) & (lead < 0xE0))
-    return bool(ends.all() and _SOLID_BYTES[data[blank + 1]].all())
-
-
-def _ends_solid(word: bytes) -> bool:
-    """A piece may be cut off: it has a solid character after its blank and at its end."""
-    first = word[1:2] if word[:1] == b" " else word[:1]
-    return bool(first) and _SOLID[first[0]] and _solid_end(word)
-
-
-def _joined(words: list[bytes]) -> list[bytes]:
-    """Pieces put together again wherever the cut between them was not one that the pre-tokeniser makes."""
-    out = [words[0]]
-    for word in words[1:]:
-        # A cut needs a solid end before it and a solid beginning after its blank.
-        begins = len(word) > 1 and _SOLID[word[1]]
-        if begins and _solid_end(out[-1]):
-            out.append(word)
-        else:
-            out[-1] += word
-    return out
-
-
-def _solid_end(word: bytes) -> bool:
-    if not word:
-        return False
-    last = word[-1]
-    return _SOLID[last] if last < 0x80 else (last < 0xC0 and len(word) > 1 and 0xC3 <= word[-2] < 0xE0)
+_LETTERS = np.zeros(256, bool)
+_LETTERS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+
+
+def piece_cuts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Places at which the pieces of texts laid end to end begin, and the end of the last; ``bounds`` are those of the texts."""
+    begins = _SOLID_BYTES[data]
+    ends = begins & (data < 0x80)
+    ends[1:] |= begins[:-1] & (data[:-1] >= 0xC3) & (data[1:] >= 0x80) & (data[1:] < 0xC0)
+    # A solid character of the same text on both sides.
+    between = np.zeros(len(data), bool)
+    between[1:-1] = ends[:-2] & begins[2:]
+    between[bounds[bounds < len(data)]] = False
+    between[bounds[bounds > 0] - 1] = False
+    line = between & (data == 0x0A)
+    cut = np.zeros(len(data) + 1, bool)
+    cut[:-1] = line | (between & (data == 0x20))
+    cut[1:] |= line
+    cut[1:-1] |= ((data[1:] == 0x2E) | (data[1:] == 0x2C)) & _LETTERS[data[:-1]]
+    cut[bounds] = True
+    return np.flatnonzero(cut)
+
+
+def _ends_solid(piece: bytes) -> bool:
+    """The piece has a solid character after its blank and at its end, so others may be glued to it."""
+    first, last = piece[1:2] if piece[0] == 0x20 else piece[:1], piece[-1]
+    return bool(first) and _SOLID[first[0]] and (_SOLID[last] if last < 0x80 else last < 0xC0 and len(piece) > 1 and 0xC3 <= piece[-2] < 0xE0)
 
 
 def _encoder(path: str) -> PieceEncoder:

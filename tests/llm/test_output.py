@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import io
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -46,6 +47,38 @@ def test_pieces_encode_as_whole_texts(tokenizer):
         assert [g.tolist() for g in got] == [e.ids for e in tokenizer.encode_batch(cases, add_special_tokens=False)]
 
 
+def test_encoder_works_per_distinct_piece(tokenizer):
+    rng = np.random.Generator(np.random.PCG64(6))
+    words = [f"{a}{b}{c}" for a in "Talon" for b in "rim" for c in ("", "eth", "ando", "is")]
+    lines = [" ".join(words[i] for i in rng.integers(0, len(words), 3)) + end for end in rng.choice([".", ",", ""], 12_000)]
+    texts = ["\n".join(lines[i:i + 40]) for i in range(0, len(lines), 40)]
+    encoder, calls = token_file.PieceEncoder(VOCABULARY), 0
+
+    def count(_frame, event, _arg):
+        nonlocal calls
+        calls += event == "call"
+
+    sys.setprofile(count)
+    try:
+        got = encoder.encode([t.encode() for t in texts])
+    finally:
+        sys.setprofile(None)
+    assert [g.tolist() for g in got] == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    # The lines begin and end with a few words; no Python function runs for each line or place.
+    assert calls < len(lines) / 2
+
+
+def test_texts_of_a_call_do_not_touch(tokenizer):
+    edges = ["", " ", "  ", "\n", ".", ",", "a", "é", "日", "\u00a0", "a ", " a", "a\n", "\na", "a.", ".a", "é ", "\né", " .", "a\n\n", "'s", "'"]
+    cases = [c for left in edges for right in edges for c in (left, right)]
+    expected = [e.ids for e in tokenizer.encode_batch(cases, add_special_tokens=False)]
+    for cache in (0, 1 << 20):
+        encoder = token_file.PieceEncoder(VOCABULARY, cache)
+        for _ in range(2):
+            assert [g.tolist() for g in encoder.encode([c.encode() for c in cases])] == expected
+    assert [g.tolist() for g in encoder.encode([b""] * 3)] == [[]] * 3 and encoder.encode([]) == []
+
+
 def test_token_file(spark, tokenizer):
     path = scratch_path(spark, "test-tokens")
     token_file.write_tokens(documents(spark), path, VOCABULARY, end_id=2, block=64, chunk_ids=500)

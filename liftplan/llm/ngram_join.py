@@ -107,7 +107,8 @@ def sketches_differ(sketch: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
             mine = mine[:len(mine) // 2] ^ mine[len(mine) // 2:]
         while theirs.shape[1] > len(mine):
             theirs = theirs[:, :theirs.shape[1] // 2] ^ theirs[:, theirs.shape[1] // 2:]
-        out[at] = np.bitwise_count(theirs ^ mine).sum(axis=1)
+        # Of a signed number NumPy counts the bits of its absolute value.
+        out[at] = np.bitwise_count((theirs ^ mine).view(np.uint64)).sum(axis=1)
     return out
 
 

@@ -177,6 +177,20 @@ def test_sketches_bound_the_difference():
         assert differ[0] == ngram_join.sketches_differ(y, [x])[0]
 
 
+def test_sketches_of_near_copies_differ_by_their_own_bits():
+    """Also where the first bit of a word differs, which makes the word a negative number."""
+    rng, first_bits = np.random.Generator(np.random.PCG64(9)), 0
+    for _ in range(200):
+        a = np.unique(rng.integers(0, 1 << 62, 400).astype(np.uint64))
+        b = np.unique(np.r_[a[:-8], rng.integers(0, 1 << 62, 8).astype(np.uint64)])
+        x, y = ngram_join.parity_sketch(a), ngram_join.parity_sketch(b)
+        got = ngram_join.sketches_differ(x, [y, x, y]).tolist()
+        assert got == [sum((v & (1 << 64) - 1).bit_count() for v in (x ^ y).tolist()), 0, got[0]]
+        assert got[0] <= len(np.setxor1d(a, b))
+        first_bits += bool(((x ^ y) < 0).any())
+    assert first_bits > 20
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 50)] + [(7, 7), (None, 3)]
     got = {r[0]: r[1] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -8,6 +8,7 @@ from math import floor, isfinite
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -241,6 +242,20 @@ def test_evolution_beats_best_fit():
     assert sorted(map(sorted, again.bins)) == sorted(map(sorted, later[0].bins))
 
 
+def test_evolution_goes_on_after_the_least_number_of_bins():
+    """Best fit needs the least number of bins at once; the other packings and all children are made nevertheless, and fill bins better."""
+    rng = random.Random(3)
+    lengths = [rng.randint(1, 300) for _ in range(200)]
+    first = packing.evolve(lengths, 1000, [], 4, 0, random.Random(1))
+    assert len(first) == 4 and len(first[0].bins) == -(-sum(lengths) // 1000)
+    drawn = random.Random(2)
+    later = packing.evolve(lengths, 1000, list(first), 4, 60, drawn)
+    assert len(later) == 4 and drawn.getstate() != random.Random(2).getstate()
+    assert later[0].fitness() > first[0].fitness() and len(later[0].bins) == len(first[0].bins)
+    made = next(packing._epoch(1000, 4, 5, 0)(iter([pa.RecordBatch.from_pylist([{"block": 0, "island": 0, "lengths": np.array(lengths, "<u4").tobytes(), "packings": []}])])))
+    assert len(made.column("packings")[0]) == 4
+
+
 def test_elite_moves_between_islands(spark):
     """All islands of a block know the best packing after the last epoch, and the block's result is the best of all."""
     prepare(spark)

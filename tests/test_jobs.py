@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from liftplan.operators.joins import asked_for, lookup, rejoin
 from liftplan.plans import contract_raw, contract_summary, delivery_mapping, history, movements, plan, prototypes
-from liftplan.session import TASK_SIZE, TASK_SIZES, stage, staging, tune
+from liftplan.session import TASK_SIZE, TASK_SIZES, Slices, hadoop_fs, scratch_base, stage, stage_sliced, staging, tune
 from liftplan.sources import Catalog, TableSpec, read_table, replace
 from liftplan.suite import jobs
 from liftplan.suite.registry import AS_OF, Inputs
@@ -246,3 +246,38 @@ def test_rejoin_matches_nulls(spark):
     narrow = spark.createDataFrame([(1, None, 10), (None, 2, 20), (1, 2, None), (1, 2, 30), (7, 7, 70)], "k int, m int, w int")
     assert sorted(map(str, rejoin(df, narrow, ["k", "m"]).collect())) == sorted(map(str, spark.createDataFrame(
         [(1, None, "a", 10), (1, None, "b", 10), (None, 2, "c", 20), (1, 2, "d", None), (1, 2, "d", 30)], "k int, m int, v string, w int").collect()))
+
+
+def _staged(spark):
+    fs, path, _ = hadoop_fs(spark, f"{scratch_base(spark)}/liftplan")
+    return {s.getPath().getName() for s in fs.listStatus(path)} if fs.exists(path) else set()
+
+
+def test_join_in_slices(spark):
+    """As the join of the whole frames, with null keys, repeated rows and slices of one side only; each slice is dropped when it is joined."""
+    schema = "k string, m string, v int"
+    left = spark.createDataFrame([(str(i % 40) if i % 7 else None, "x" if i % 3 else None, i % 90) for i in range(300)], schema)
+    right = spark.createDataFrame([(str(i % 25) if i % 5 else None, "x" if i % 2 else None, i) for i in range(60)], schema).withColumnRenamed("v", "w")
+    join = lambda a, b: rejoin(a, b, ["k", "m"])
+    before = _staged(spark)
+    with staging(spark) as kept:
+        frames = Slices(left, "left", ["k", "m"], 5), Slices(right, "right", ["k", "m"], 5)
+        made = kept(lambda: stage_sliced(join, "joined", *frames))
+        assert all(f.take(i).isEmpty() for f in frames for i in range(5))
+        few = stage_sliced(join, "few", Slices(left.limit(1), "left", ["k", "m"], 5), Slices(right.where("false"), "right", ["k", "m"], 5))
+        assert few.count() == 0 and few.columns == made.columns
+    assert Counter(made.collect()) == Counter(join(left, right).collect()) != Counter()
+    assert [n.split("-")[0] for n in _staged(spark) - before] == ["joined"]
+
+
+def test_legacy_steps_are_gone_with_their_shuffles(spark, inputs):
+    """The job gives a stored frame; what it staged on the way is dropped, and nothing is left to shuffle."""
+    catalog = inputs.domain
+    stored = movements.run(spark, catalog, AS_OF, jobs.MOVEMENT)["movements"]
+    sliced = movements.run(spark, catalog, AS_OF, jobs.MOVEMENT, staged=True)["movements"]
+    assert sliced.columns == stored.columns and Counter(sliced.collect()) == Counter(stored.collect())
+    catalog.bind("stored_movements", stage(stored, "stored-movements"))
+    before = _staged(spark)
+    made = prototypes.run_legacy(spark, catalog, AS_OF, prototypes.LEGACY_WINDOW)["contract_movements"]
+    assert made.count() > 0 and "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+    assert [n.rsplit("-", 1)[0] for n in _staged(spark) - before] == ["legacy-whole"]

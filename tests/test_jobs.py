@@ -281,3 +281,19 @@ def test_legacy_steps_are_gone_with_their_shuffles(spark, inputs):
     made = prototypes.run_legacy(spark, catalog, AS_OF, prototypes.LEGACY_WINDOW)["contract_movements"]
     assert made.count() > 0 and "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
     assert [n.rsplit("-", 1)[0] for n in _staged(spark) - before] == ["legacy-whole"]
+
+
+def test_terminal_in_slices(spark):
+    """The rows of one plan; the result is stored, nothing is left to shuffle and what was staged on the way is gone."""
+    catalog = jobs._plain_units(Inputs(spark, FOLDER))
+    for name in ("contract_commercial", "price_condition"):
+        catalog.bind(name, catalog.frame(f"{name}_head"))
+    moved = catalog.frame("movement").withColumn("kdauf", F.concat(F.lit("0"), F.substring("kdauf", 2, 15)))
+    catalog.bind("movement", moved, catalog.unique("movement"))
+    with staging(spark):
+        want = prototypes.run_terminal(spark, catalog)["contract_movements"]
+        before = _staged(spark)
+        made = prototypes.run_terminal(spark, catalog, sliced=True)["contract_movements"]
+        assert [n.rsplit("-", 1)[0] for n in _staged(spark) - before] == ["terminal-whole"]
+        assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+        assert made.columns == want.columns and Counter(made.collect()) == Counter(want.collect()) != Counter()

@@ -270,9 +270,9 @@ def test_join_in_slices(spark):
     assert [n.split("-")[0] for n in _staged(spark) - before] == ["joined"]
 
 
-def test_legacy_steps_are_gone_with_their_shuffles(spark, inputs):
+def test_legacy_steps_are_gone_with_their_shuffles(spark):
     """The job gives a stored frame; what it staged on the way is dropped, and nothing is left to shuffle."""
-    catalog = inputs.domain
+    catalog = Inputs(spark, FOLDER).domain
     stored = movements.run(spark, catalog, AS_OF, jobs.MOVEMENT)["movements"]
     sliced = movements.run(spark, catalog, AS_OF, jobs.MOVEMENT, staged=True)["movements"]
     assert sliced.columns == stored.columns and Counter(sliced.collect()) == Counter(stored.collect())
@@ -297,3 +297,12 @@ def test_terminal_in_slices(spark):
         assert [n.rsplit("-", 1)[0] for n in _staged(spark) - before] == ["terminal-whole"]
         assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
         assert made.columns == want.columns and Counter(made.collect()) == Counter(want.collect()) != Counter()
+
+
+def test_delivery_rows_meet_a_staged_part_of_the_plan(spark):
+    """The plan is cut to the rows' keys slice by slice, so it is no side of a join of the delivery rows; audit (twice, for its keys) and registry are."""
+    with staging(spark):
+        made = delivery_mapping.shared_rows(spark, jobs._with_plan(Inputs(spark, FOLDER)), AS_OF, jobs.MAPPING)
+        text = made._jdf.queryExecution().optimizedPlan().toString()
+        assert text.count("Join LeftSemi") == 3 and made.count() > 0
+        assert any(n.startswith("asked-plan") for n in _staged(spark))
